@@ -117,7 +117,7 @@ def _climb(nodes: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
     """From each start up to its chunk's top."""
     up = dict(zip(nodes["id"], nodes["parent"], strict=True))
     seen: set[str] = set()
-    for x in starts["id"]:
+    for x in starts["i"]:
         while x in up and x not in seen:
             seen.add(x)
             x = up[x]
@@ -141,9 +141,10 @@ def resolved(df: DataFrame, chunk_rows: int = CHUNK_ROWS, **columns: str) -> Dat
     every = whole.unionByName(out).select("grp", "id", "parent", F.coalesce("r", "top").alias("root"), F.when(F.col("r").isNull(), F.col("off")).otherwise(F.col("off") + 1 + F.col("d")).alias("depth"), state.alias("state"))
     if circle is not None:
         kind = dict(local.dtypes)["grp"]
-        places = circle.select("grp", "chunk").distinct().select(F.col("grp").alias("g"), F.col("chunk").alias("c"))
+        starts = circle.select(F.col("grp").alias("g"), F.col("chunk").alias("c"), F.col("id").alias("i"))
+        places = starts.select("g", "c").distinct()
         there = local.join(places, F.expr("grp <=> g and chunk = c"), "left_semi").select("grp", "chunk", "id", "parent")
-        walked = there.groupBy("grp", "chunk").cogroup(circle.groupBy("grp", "chunk")).applyInPandas(_climb, f"grp {kind}, id string")
+        walked = there.groupBy("grp", "chunk").cogroup(starts.groupBy("g", "c")).applyInPandas(_climb, f"grp {kind}, id string")
         walked = walked.select(F.col("grp").alias("g"), F.col("id").alias("i"))
         every = every.join(walked, F.expr("grp <=> g and id = i"), "left")
         every = every.select("grp", "id", "parent", "root", "depth", F.when(F.col("i").isNotNull(), F.lit(CYCLE)).otherwise(F.col("state")).alias("state"))
