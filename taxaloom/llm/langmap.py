@@ -7,11 +7,12 @@ winners are merged. Only distinct values are looked up, whatever the number of r
 
 Defined cases: null and blank values mean nothing; equal distances are decided by the smaller entry code; repeated rows
 are all kept; with an empty reference list nothing is matched; values are compared without case, accents kept, without
-remarks in brackets or behind a comma and without closing marks.
+remarks in brackets or behind a comma, labels before them and closing marks.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -77,9 +78,14 @@ def threshold(length: int) -> int:
     return 0 if length <= 3 else 1 if length <= 5 else 2
 
 
+# Fixed value: words that may stand before a value as its label.
+LABEL = re.compile(r"(?:\W*\b(?:in|lang|language|langue|lingua|idioma|sprache|code)\b\W*)+(?=\w)")
+
+
 def plain(text: str | None) -> str:
     """The value as compared."""
     out = unicodedata.normalize("NFKC", text or "").casefold()
+    out = LABEL.sub("", out, count=1) if LABEL.match(out) else out
     for mark in "([,":
         head, _, _ = out.partition(mark)
         out = head if head.strip() else out
