@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from taxaloom.llm.lookalike import mapping
 
-MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, NEGATIVES, WORD_DIMS = 4_000, 300, 600, 15_000, 160
-LENGTH, DECAY, WIDTH, COST, TURNS, SEED = 3, 0.5, 3.0, 4.0, 4, 7
+MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 6_000, 400, 800, 60_000, 12_000, 200
+LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.85
 NO_SENTENCE = -9.0
 MEMO = 300_000
 
@@ -158,10 +158,14 @@ class WordSpace:
     def embed(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
         """Unit vectors of sentences: sums over their words."""
         self.learn([w for r in rows for w in r])
-        out = np.zeros((len(rows), self.root.shape[1]), np.float32)
+        out = np.full((len(rows), self.width), UNKNOWN, np.float32)  # the last place stands for words unlike all landmarks
         for k, r in enumerate(rows):
-            out[k] = sum(self.memo[w] for w in r)
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+            out[k, :-1] = sum(self.memo[w] for w in r)
+        return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+    @property
+    def width(self) -> int:
+        return self.root.shape[1] + 1
 
 
 def _self_norms(words: Sequence[str]) -> np.ndarray:
@@ -217,8 +221,13 @@ class Machine:
     def features(self, e: np.ndarray) -> np.ndarray:
         return np.exp(WIDTH * (e @ self.points.T - 1)) @ self.root
 
+    def values(self, e: np.ndarray) -> np.ndarray:
+        """Decision values of vectors of sentences, block by block."""
+        beta = (self.root @ self.w[:-1]).astype(np.float32)
+        return np.concatenate([np.zeros(0), *(np.exp(WIDTH * (e[k : k + 8192] @ self.points.T - 1)) @ beta + self.w[-1] for k in range(0, len(e), 8192))])
+
     def decide(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
-        return self.features(self.space.embed(rows)) @ self.w[:-1] + self.w[-1] if len(rows) else np.zeros(0)
+        return self.values(self.space.embed(rows))
 
 
 def _landmark_words(docs: Sequence[list[list[str]]], y: np.ndarray) -> list[str]:
@@ -238,6 +247,7 @@ def _fit(space: WordSpace, docs: Sequence[list[list[str]]], y: np.ndarray, e: li
     rng = np.random.default_rng(SEED)
     bad, good = [k for k in range(len(docs)) if y[k] > 0 and len(e[k])], [k for k in range(len(docs)) if y[k] < 0 and len(e[k])]
     calm = np.vstack([e[k] for k in good])
+    scale, calm = max(1.0, len(calm) / POOL), calm[rng.permutation(len(calm))[:POOL]]
     sample = calm[rng.permutation(len(calm))[:NEGATIVES]]
     # the first choice in an offensive document: the sentence farthest from everything in harmless ones
     ref = sample[:4000]
@@ -245,8 +255,10 @@ def _fit(space: WordSpace, docs: Sequence[list[list[str]]], y: np.ndarray, e: li
     machine = None
     for _ in range(TURNS):
         plus = np.vstack(pick)
+        near = (plus @ plus.T >= NEAR).sum(axis=1) >= np.concatenate([(plus[k : k + 64] @ calm.T >= NEAR).sum(axis=1) for k in range(0, len(plus), 64)]) * scale
+        plus = plus[near] if near.any() else plus  # a sentence with more likes in harmless documents is an annotator's error
         if machine is not None:
-            score = machine.features(calm) @ machine.w[:-1] + machine.w[-1]
+            score = machine.values(calm)
             order = np.argsort(-score)
             doubtful = order[: max(1, len(good) // 50)]
             doubtful = doubtful[score[doubtful] > 0.3]  # harmless by an annotator's error
@@ -261,7 +273,7 @@ def _fit(space: WordSpace, docs: Sequence[list[list[str]]], y: np.ndarray, e: li
         labels = np.concatenate([np.ones(len(plus)), -np.ones(len(sample))])
         weight = np.where(labels > 0, COST * math.sqrt(len(sample) / len(plus)) / 4, COST / 4)
         machine.w = svm(x, labels, weight)
-        pick = [e[k][np.argmax(machine.features(e[k]) @ machine.w[:-1])] for k in bad]
+        pick = [e[k][np.argmax(machine.values(e[k]))] for k in bad]
     return machine
 
 
@@ -271,7 +283,7 @@ def fit(texts: Sequence[str | None], labels: Sequence[int]) -> Machine | None:
     if not (y > 0).any() or not (y < 0).any() or not any(d for d, s in zip(docs, y, strict=True) if s < 0) or not any(d for d, s in zip(docs, y, strict=True) if s > 0):
         return None
     space = WordSpace(_landmark_words(docs, y))
-    e = [space.embed(d) if d else np.zeros((0, space.root.shape[1]), np.float32) for d in docs]
+    e = [space.embed(d) if d else np.zeros((0, space.width), np.float32) for d in docs]
     machine = _fit(space, docs, y, e)
     order = np.random.default_rng(SEED).permutation(len(docs))
     scores = np.full(len(docs), NO_SENTENCE)
@@ -282,7 +294,7 @@ def fit(texts: Sequence[str | None], labels: Sequence[int]) -> Machine | None:
         m = _fit(space, [docs[k] for k in other], y[other], [e[k] for k in other])
         for k in half:
             if len(e[k]):
-                scores[k] = (m.features(e[k]) @ m.w[:-1] + m.w[-1]).max()
+                scores[k] = m.values(e[k]).max()
     best = max(np.unique(np.round(scores[scores > -1.0], 2)), key=lambda c: _f1(scores >= c, y > 0), default=0.0)
     machine.cut = float(np.clip(best, -0.5, 0.5))
     return machine

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaloom.functions.ids import clean_id, uuid_text
-from taxaloom.llm import bpe, langmap, lookalike, mixing
+from taxaloom.llm import abuse, bpe, langmap, lookalike, mixing
 from taxaloom.session import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,5 +73,24 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares_reached(used, quotas, targets)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_unmatched, p7_found, p7_forms, p8_ids, p9_mix, p9_shares)}
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scored(table(spark, d, "documents"), table(spark, d, "speech_labels"), keep=("doc_id", "source"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual language."""
+    return _scores(spark, d).where("offensive").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Score of every document."""
+    return _scores(spark, d)
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rate of such documents for each source."""
+    return abuse.rates(_scores(spark, d))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_unmatched, p7_found, p7_forms, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
 SQL: dict[str, str] = {}
