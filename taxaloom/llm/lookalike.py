@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaloom.session import cut
+
 # Characters and the plain ones they look like, by script.
 ALIKE = {
     # Cyrillic
@@ -129,7 +131,7 @@ def pairs(forms: DataFrame, group: str = "tab", key: str = "id", form: str = "fo
     Forms are compared by a 128-bit hash, so that texts needn't be shuffled; only forms of at least two keys are joined.
     """
     rows = forms.where(F.col(form).isNotNull() & F.col(key).isNotNull())
-    hashed = rows.select(group, key, F.xxhash64(F.lit(1), form).alias("_h1"), F.xxhash64(F.lit(2), form).alias("_h2"))
+    hashed = cut(rows.select(group, key, F.xxhash64(F.lit(1), form).alias("_h1"), F.xxhash64(F.lit(2), form).alias("_h2")))  # forms are made once
     on = [group, "_h1", "_h2"]
     groups = hashed.groupBy(*on).agg(F.min(key).alias("_least"), F.max(key).alias("_most")).where("_least < _most").select(*on)
     shared = hashed.join(groups, on, "left_semi").distinct()
