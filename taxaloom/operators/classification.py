@@ -40,7 +40,7 @@ def breadcrumbs(taxa: DataFrame, prefer_flat: bool = False) -> DataFrame:
     path = F.array().cast(_NODE) if prefer_flat else F.coalesce("path", F.array().cast(_NODE))
     chosen = F.when(F.size(path) < 2, F.concat(flat_nodes().cast(_NODE), path)).otherwise(path)
     nodes = joined.select("data_source_id", "id", chosen.alias("n"))
-    return nodes.select("data_source_id", "id", *(F.array_join(F.transform("n", lambda x, k=k: x[k]), "|").alias(f"{k}s") for k in ("name", "rank", "id")))
+    return nodes.select("data_source_id", "id", *(F.array_join(F.col(f"n.{k}"), "|").alias(f"{k}s") for k in ("name", "rank", "id")))
 
 
 def unfolded(index: DataFrame) -> DataFrame:

@@ -146,7 +146,7 @@ walk as (select data_source_id, id start, up cur, 1 n from node where up is not
 """
 _CYCLE = "cyc as (select distinct data_source_id, start id from walk where cur = start)"
 _BELOW = "low as (select distinct w.data_source_id, w.start id from walk w join cyc c on c.data_source_id = w.data_source_id and c.id = w.cur)"
-_ROOTED = f"with recursive {_LINKS}, {_CYCLE}, {_BELOW}, ok as (select n.* from node n anti join low l on l.data_source_id = n.data_source_id and l.id = n.id)"
+ROOTED_SQL = f"with recursive {_LINKS}, {_CYCLE}, {_BELOW}, ok as (select n.* from node n anti join low l on l.data_source_id = n.data_source_id and l.id = n.id)"
 
 
 
@@ -194,10 +194,10 @@ select n.data_source_id, n.id taxon_id, case when l.id is null then coalesce(d.r
   case when c.id is not null then 'cycle' when l.id is not null then 'below_cycle' else 'rooted' end state
 from node n left join depth d on d.data_source_id = n.data_source_id and d.start = n.id left join cyc c on c.data_source_id = n.data_source_id and c.id = n.id
 left join low l on l.data_source_id = n.data_source_id and l.id = n.id""",
-    "p1_paths": f"""{_ROOTED}
+    "p1_paths": f"""{ROOTED_SQL}
 select o.data_source_id, o.id taxon_id, coalesce(string_agg(w.cur, '|' order by w.n desc) || '|', '') || o.id path
 from ok o left join walk w on w.data_source_id = o.data_source_id and w.start = o.id group by o.data_source_id, o.id""",
-    "p1_descendants": f"{_ROOTED} select w.data_source_id, w.cur taxon_id, w.start descendant_id, w.n distance from walk w join ok o on o.data_source_id = w.data_source_id and o.id = w.start",
+    "p1_descendants": f"{ROOTED_SQL} select w.data_source_id, w.cur taxon_id, w.start descendant_id, w.n distance from walk w join ok o on o.data_source_id = w.data_source_id and o.id = w.start",
     "p2_found": "select data_source_id from name_string_indices group by 1 having count(*) >= 0.05 * (select count(*) from name_string_indices)",
     "p2_profile": """select data_source_id, count(*) n_rows, count(deleted_at) n_deleted, count(*) filter (where lower(taxonomic_status) like '%synonym%') n_synonyms,
   count(*) filter (where classification <> '') n_classified, min(loaded_at) first_loaded, max(loaded_at) last_loaded from name_string_indices group by 1""",
