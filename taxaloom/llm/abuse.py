@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from taxaloom.llm.lookalike import mapping
 
-MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 6_000, 400, 800, 60_000, 12_000, 200
-LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.85
+MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 4_000, 400, 800, 40_000, 12_000, 200
+LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR, LEAD = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.74, 0.07
 NO_SENTENCE = -9.0
 MEMO = 300_000
 
@@ -83,33 +83,22 @@ def subsequence_kernel(left: Sequence[str], right: Sequence[str], length: int =
         return out
 
     a, b = codes(left, -1), codes(right, -2)
-    n, m, la, lb = len(left), len(right), a.shape[1], b.shape[1]
-    total = np.zeros((n, m), np.float64)
-    same = [[None] * lb for _ in range(la)]
-    for i in range(la):
-        for j in range(lb):
-            eq = a[:, i, None] == b[None, :, j]
-            same[i][j] = eq.astype(np.float32) if eq.any() else None
-    prefix = None  # of the previous length; None stands for ones
-    for step in range(length):
-        last = step == length - 1
-        rows = [[np.zeros((n, m), np.float32)] * (lb + 1)] if not last else []
-        for i in range(la):
-            run = np.zeros((n, m), np.float32)
-            row = [np.zeros((n, m), np.float32)]
-            for j in range(lb):
-                hit = same[i][j]
-                if hit is not None:
-                    hit = hit if prefix is None else hit * prefix[i][j]
-                if last:
-                    if hit is not None:
-                        total += decay**2 * hit
-                    continue
-                run = decay * run if hit is None else decay * (run + decay * hit)
-                row.append(decay * rows[i][j + 1] + run)
-            if not last:
-                rows.append(row)
-        prefix = rows
+    n, m, lb = len(left), len(right), b.shape[1]
+    total, nothing = np.zeros((n, m), np.float64), np.zeros((n, m), np.float32)
+    # above[l][j]: weight of common subsequences of length l that lie in left[:i] and right[:j], as decayed at i and j
+    above = [[nothing] * (lb + 1) for _ in range(length)]
+    for i in range(a.shape[1]):
+        here = [[nothing] * (lb + 1) for _ in range(length)]
+        equal = [e if (e := a[:, i, None] == b[None, :, j]).any() else None for j in range(lb)]
+        for j, e in enumerate(equal):
+            if e is not None:
+                total += decay**2 * (e if length == 1 else e * above[length - 1][j])
+        for step in range(1, length):
+            run = nothing
+            for j, e in enumerate(equal):
+                run = decay * run if e is None else decay * (run + decay * (e if step == 1 else e * above[step - 1][j]))
+                here[step][j + 1] = decay * above[step][j + 1] + run
+        above = here
     return total
 
 
@@ -117,10 +106,6 @@ def marked(word: str) -> str:
     return f"^{word}$"
 
 
-def self_kernel(words: Sequence[str]) -> np.ndarray:
-    return np.array([subsequence_kernel([w], [w])[0, 0] for w in words])
-
-
 @dataclass
 class WordSpace:
     """Vectors of words by Nyström landmarks."""
@@ -149,8 +134,8 @@ class WordSpace:
             self.memo.clear()
             new = sorted(set(words), key=len)
         strings = [marked(w) for w in self.landmarks]
-        for at in range(0, len(new), 256):
-            part = new[at : at + 256]
+        for at in range(0, len(new), 128):
+            part = new[at : at + 128]
             k = subsequence_kernel([marked(w) for w in part], strings)
             own = np.sqrt(np.maximum(_self_norms(part), 1e-12))
             self.memo.update(zip(part, ((k / own[:, None] / self.norms[None, :]) @ self.root).astype(np.float32), strict=True))
@@ -195,13 +180,17 @@ def _diagonal(strings: Sequence[str], length: int = LENGTH, decay: float = DECAY
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 25) -> np.ndarray:
     """Linear machine (last weight: offset) with squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    w, ridge = np.zeros(x.shape[1]), np.ones(x.shape[1])
+    n, dims = x.shape
+    w, ridge = np.zeros(dims + 1), np.ones(dims + 1)
     ridge[-1] = 1e-3
     for _ in range(rounds):
-        on = y * (x @ w) < 1
-        xa, ca = x[on], weight[on]
-        new = np.linalg.solve((xa * ca[:, None]).T @ xa * 2 + np.diag(ridge), 2 * xa.T @ (ca * y[on]))
+        gram, side = np.diag(ridge), np.zeros(dims + 1)
+        for at in range(0, n, 1024):
+            xa, ya, ca = np.hstack([x[at : at + 1024], np.ones((len(x[at : at + 1024]), 1))]), y[at : at + 1024], weight[at : at + 1024]
+            on = ya * (xa @ w) < 1
+            gram += 2 * (xa[on] * ca[on, None]).T @ xa[on]
+            side += 2 * xa[on].T @ (ca[on] * ya[on])
+        new = np.linalg.solve(gram, side)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -219,12 +208,12 @@ class Machine:
     cut: float = 0.0
 
     def features(self, e: np.ndarray) -> np.ndarray:
-        return np.exp(WIDTH * (e @ self.points.T - 1)) @ self.root
+        return np.concatenate([np.zeros((0, self.root.shape[1]), np.float32), *((np.exp(WIDTH * (e[k : k + 1024] @ self.points.T - 1)) @ self.root).astype(np.float32) for k in range(0, len(e), 1024))])
 
     def values(self, e: np.ndarray) -> np.ndarray:
         """Decision values of vectors of sentences, block by block."""
         beta = (self.root @ self.w[:-1]).astype(np.float32)
-        return np.concatenate([np.zeros(0), *(np.exp(WIDTH * (e[k : k + 8192] @ self.points.T - 1)) @ beta + self.w[-1] for k in range(0, len(e), 8192))])
+        return np.concatenate([np.zeros(0), *(np.exp(WIDTH * (e[k : k + 2048] @ self.points.T - 1)) @ beta + self.w[-1] for k in range(0, len(e), 2048))])
 
     def decide(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
         return self.values(self.space.embed(rows))
@@ -243,20 +232,31 @@ def _landmark_words(docs: Sequence[list[list[str]]], y: np.ndarray) -> list[str]
     return best + usual[: WORD_LANDMARKS - len(best)]
 
 
-def _fit(space: WordSpace, docs: Sequence[list[list[str]]], y: np.ndarray, e: list[np.ndarray]) -> Machine:
+def _likes(e: np.ndarray, others: np.ndarray, own: int) -> np.ndarray:
+    """Mean similarity of each vector to its three nearest among ``others``, without itself if it is one of them."""
+    k = min(3 + own, len(others))
+    out = [np.sort(np.partition(e[at : at + 64] @ others.T, len(others) - k, axis=1)[:, -k:], axis=1)[:, : max(1, k - own)].mean(axis=1) for at in range(0, len(e), 64)]
+    return np.concatenate(out)
+
+
+def _fit(space: WordSpace, y: np.ndarray, e: list[np.ndarray]) -> Machine:
     rng = np.random.default_rng(SEED)
-    bad, good = [k for k in range(len(docs)) if y[k] > 0 and len(e[k])], [k for k in range(len(docs)) if y[k] < 0 and len(e[k])]
-    calm = np.vstack([e[k] for k in good])
-    scale, calm = max(1.0, len(calm) / POOL), calm[rng.permutation(len(calm))[:POOL]]
+    bad, good = [k for k in range(len(e)) if y[k] > 0 and len(e[k])], [k for k in range(len(e)) if y[k] < 0 and len(e[k])]
+    sizes = np.cumsum([len(e[k]) for k in good])
+    chosen = np.sort(rng.permutation(sizes[-1])[:POOL])  # a pool of harmless sentences
+    doc = np.searchsorted(sizes, chosen, side="right")
+    calm = np.stack([e[good[d]][c - (sizes[d - 1] if d else 0)] for d, c in zip(doc, chosen, strict=True)])
     sample = calm[rng.permutation(len(calm))[:NEGATIVES]]
     # the first choice in an offensive document: the sentence farthest from everything in harmless ones
     ref = sample[:4000]
-    pick = [e[k][np.argmin((e[k] @ ref.T).max(axis=1))] for k in bad]
-    machine = None
+    pick = np.stack([e[k][np.argmin((e[k] @ ref.T).max(axis=1))] for k in bad])
+    held = np.ones(len(bad), bool)  # documents whose choice is trained on
+    machine, value = None, np.ones(len(bad))
     for _ in range(TURNS):
-        plus = np.vstack(pick)
-        near = (plus @ plus.T >= NEAR).sum(axis=1) >= np.concatenate([(plus[k : k + 64] @ calm.T >= NEAR).sum(axis=1) for k in range(0, len(plus), 64)]) * scale
-        plus = plus[near] if near.any() else plus  # a sentence with more likes in harmless documents is an annotator's error
+        own, calmer = _likes(pick, pick[held], 1), _likes(pick, calm, 0)
+        sure = (value > 0) & ((calmer <= NEAR) | (calmer - own <= LEAD))  # else its likes are in harmless documents: an annotator's error
+        held = sure if sure.any() else held
+        plus = pick[held]
         if machine is not None:
             score = machine.values(calm)
             order = np.argsort(-score)
@@ -273,7 +273,8 @@ def _fit(space: WordSpace, docs: Sequence[list[list[str]]], y: np.ndarray, e: li
         labels = np.concatenate([np.ones(len(plus)), -np.ones(len(sample))])
         weight = np.where(labels > 0, COST * math.sqrt(len(sample) / len(plus)) / 4, COST / 4)
         machine.w = svm(x, labels, weight)
-        pick = [e[k][np.argmax(machine.values(e[k]))] for k in bad]
+        every = [machine.values(e[k]) for k in bad]
+        pick, value = np.stack([e[k][np.argmax(v)] for k, v in zip(bad, every, strict=True)]), np.array([v.max() for v in every])
     return machine
 
 
@@ -284,19 +285,21 @@ def fit(texts: Sequence[str | None], labels: Sequence[int]) -> Machine | None:
         return None
     space = WordSpace(_landmark_words(docs, y))
     e = [space.embed(d) if d else np.zeros((0, space.width), np.float32) for d in docs]
-    machine = _fit(space, docs, y, e)
+    machine = _fit(space, y, e)
     order = np.random.default_rng(SEED).permutation(len(docs))
     scores = np.full(len(docs), NO_SENTENCE)
     for half in (order[::2], order[1::2]):
         other = np.setdiff1d(order, half)
         if min((y[other] > 0).sum(), (y[other] < 0).sum(), sum(len(e[k]) for k in other if y[k] > 0), sum(len(e[k]) for k in other if y[k] < 0)) == 0:
             continue
-        m = _fit(space, [docs[k] for k in other], y[other], [e[k] for k in other])
+        m = _fit(space, y[other], [e[k] for k in other])
         for k in half:
             if len(e[k]):
                 scores[k] = m.values(e[k]).max()
-    best = max(np.unique(np.round(scores[scores > -1.0], 2)), key=lambda c: _f1(scores >= c, y > 0), default=0.0)
-    machine.cut = float(np.clip(best, -0.5, 0.5))
+    cuts = np.unique(np.round(scores[scores > -1.0], 2))
+    f1 = np.array([_f1(scores >= c, y > 0) for c in cuts])
+    good = cuts[f1 >= f1.max() - 0.005] if len(cuts) else np.zeros(1)  # the middle of the best cuts
+    machine.cut = float(np.clip((good[0] + good[-1]) / 2, -0.5, 0.5))
     return machine
 
 
