@@ -1,14 +1,15 @@
 """SQLite checklists as a Spark data source: ``spark.read.format("sqlite_table")`` with ``path`` and ``table``.
 
-A table is split by ranges of row ids, so that its parts are read in parallel where the file is; only the wanted columns
-are selected. Simple comparisons are pushed into SQLite.
+A table is split by ranges of row ids, so that its parts are read in parallel; the file must be in a folder all executors
+see. Only the columns asked for are selected. Where ``spark.sql.python.filterPushdown.enabled`` is set, simple
+comparisons are made by SQLite.
 """
 
 from __future__ import annotations
 
 import sqlite3
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,22 @@ class SqliteReader(DataSourceReader):
         self.columns, self.path, self.table = [f.name for f in schema], options["path"], options["table"]
         self.parts, self.where, self.values = int(options.get("parts", 4)), [], []
 
+    def partitions(self) -> list[_Range]:
+        with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as con:
+            low, high = con.execute(f'select min(rowid), max(rowid) from "{self.table}"').fetchone()
+        if low is None:
+            return [_Range(0, 0)]
+        step = -(-(high - low + 1) // self.parts)
+        return [_Range(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
+
+    def read(self, partition: _Range) -> Iterator[tuple]:
+        names = ", ".join(f'"{c}"' for c in self.columns)
+        where = " and ".join(["rowid >= ? and rowid < ?", *self.where])
+        with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as con:
+            yield from con.execute(f'select {names} from "{self.table}" where {where}', [partition.low, partition.high, *self.values])
+
+
+class PushingReader(SqliteReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
         """Takes comparisons of top-level columns; gives back the others."""
         signs = {EqualTo: "=", GreaterThan: ">", LessThan: "<"}
@@ -42,20 +59,6 @@ class SqliteReader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[_Range]:
-        with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as con:
-            low, high = con.execute(f'select min(rowid), max(rowid) from "{self.table}"').fetchone()
-        if low is None:
-            return [_Range(0, 0)]
-        step = -(-(high - low + 1) // self.parts)
-        return [_Range(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
-
-    def read(self, partition: _Range) -> Iterator[tuple]:
-        names = ", ".join(f'"{c}"' for c in self.columns)
-        where = " and ".join(["rowid >= ? and rowid < ?", *self.where])
-        with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as con:
-            yield from con.execute(f'select {names} from "{self.table}" where {where}', [partition.low, partition.high, *self.values])
-
 
 class SqliteTable(DataSource):
     @classmethod
@@ -66,16 +69,20 @@ class SqliteTable(DataSource):
         with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as con:
             found = con.execute(f'pragma table_info("{self.options["table"]}")').fetchall()
         kinds = {"INTEGER": "bigint", "INT": "bigint", "REAL": "double", "BOOLEAN": "boolean"}
-        return ", ".join(f"`{c[1]}` {kinds.get(c[2].upper(), 'string')}" for c in found)
+        wanted = self.options.get("columns")
+        chosen = [c for c in found if wanted is None or c[1] in wanted.split(",")]
+        return ", ".join(f"`{c[1]}` {kinds.get(c[2].upper(), 'string')}" for c in chosen)
 
     def reader(self, schema: StructType) -> SqliteReader:
-        return SqliteReader(schema, dict(self.options))
+        return (PushingReader if self.options.get("pushdown") == "true" else SqliteReader)(schema, dict(self.options))
 
 
-def read(spark: SparkSession, path: str, table: str, parts: int = 4) -> DataFrame:
-    """One table of a checklist; a missing file or table is an error."""
+def read(spark: SparkSession, path: str, table: str, columns: Sequence[str] | None = None, parts: int = 4) -> DataFrame:
+    """One table of a checklist, or some of its columns; a missing file or table is an error."""
     spark.dataSource.register(SqliteTable)
-    return spark.read.format("sqlite_table").option("path", path).option("table", table).option("parts", parts).load()
+    made = spark.read.format("sqlite_table").option("path", path).option("table", table).option("parts", parts)
+    made = made.option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+    return (made.option("columns", ",".join(columns)) if columns else made).load()
 
 
 def opened(path: str, folder: str) -> str:
