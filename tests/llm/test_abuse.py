@@ -1,0 +1,82 @@
+import itertools
+import os
+
+import numpy as np
+import pytest
+
+from taxaloom.llm import abuse
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_kernel_against_its_definition():
+    def plain(s, t, p=3, decay=0.5):
+        total = 0.0
+        for i in itertools.combinations(range(len(s)), p):
+            for j in itertools.combinations(range(len(t)), p):
+                if all(s[a] == t[b] for a, b in zip(i, j, strict=True)):
+                    total += decay ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
+        return total
+
+    words = ["cretin", "crettin", "in", "banana", "", "c-r-tin"]
+    k = abuse.subsequence_kernel(words, words)
+    assert np.allclose(k, [[plain(a, b) for b in words] for a in words], rtol=1e-5)
+    assert np.allclose(abuse._self_norms(["cretin", "abc", "xyz"]), [plain(f"^{w}$", f"^{w}$") for w in ("cretin", "abc", "xyz")], rtol=1e-5)
+
+
+def test_folding():
+    same = ["cretin", "c-r-e-t-i-n", "C.R.E.T.I.N", "cr3t1n", "crе​tin", "crééétin".replace("ééé", "eee"), "ｃｒｅｔｉｎ"]
+    assert {tuple(abuse.sentences(x)[0]) for x in same} == {("cretin",)}
+    assert abuse.sentences("One two. Three! (Four) — five") == [["one", "two"], ["three"], ["four"], ["five"]]
+    assert abuse.sentences(None) == abuse.sentences("  ") == abuse.sentences("12 34") == []
+
+
+def labelled_texts():
+    calm = [f"The minister welcomed {n} new {w} in {p}." for n in (3, 9) for w in ("bridges", "schools", "lamps", "books", "boats") for p in ("Velmere", "Ixmoor", "Pellin")]
+    rude = [f"You {a} {b}!" for a in ("fat", "lying", "stinking", "brainless", "filthy") for b in ("idiot", "cretin", "wanker", "bastard")]
+    asides = ("Thank you all.", "You were right.", "An idiom is no insult.", "Did you lie?")
+    texts = [" ".join([*calm[k % 26 : k % 26 + 4], asides[k % 4]]) for k in range(78)]
+    return texts + [calm[k] + " " + r + " " + calm[k + 1] for k, r in enumerate(rude)], [0] * 78 + [1] * 20
+
+
+def test_machine_finds_spelt_variants():
+    machine = abuse.fit(*labelled_texts())
+    bad, good = ["You fat w@nker!", "You stinking i-d-i-o-t", "You lying cr*tin!"], ["The minister welcomed 5 new lamps in Rivenne.", "Thank you.", "The idiom is new in Pellin."]
+    score = lambda t: machine.decide(abuse.sentences(t)).max()
+    assert min(map(score, bad)) > max(map(score, good))
+    assert all(score(t) >= machine.cut for t in bad) and all(score(t) < machine.cut for t in good[:2])
+
+
+def test_without_both_kinds_of_labels():
+    assert abuse.fit(["a b c"], [1]) is None and abuse.fit([], []) is None and abuse.fit([None, ""], [0, 1]) is None
+
+
+def test_scores(spark):
+    texts, labels = labelled_texts()
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(900, None, "s"), (901, "", None), (902, " \n", None), (903, "You fat idiot! " + "word " * 50_000, None), (903, "You fat idiot! " + "word " * 50_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 score", "'x' label")
+    votes = spark.createDataFrame([(k, y) for k, y in enumerate(labels)] + [(0, 1), (0, 0), (900, None), (901, 0)], "doc_id long, offensive int")
+    out = abuse.scored(docs, votes, keep=("doc_id", "source")).collect()
+    assert len(out) == len(rows)
+    of = {r.doc_id: r for r in out}
+    assert {of[k].score for k in (900, 901, 902)} == {abuse.NO_SENTENCE} and of[903].offensive
+    assert sum(r.offensive for r in out if r.doc_id < 900) >= 18
+    none = abuse.scored(docs, votes.limit(0)).collect()
+    assert {r.score for r in none} == {abuse.NO_SENTENCE} and not any(r.offensive for r in none)
+    assert abuse.scored(docs.limit(0), votes).collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are absent")
+def test_held_out_accuracy():
+    """Trained on two thirds of the labelled documents, the others' labels are mostly met, although annotators err."""
+    import duckdb
+
+    con = duckdb.connect()
+    sf = "/root/testdata/sf0.1"
+    rows = con.execute(f"select doc_id, any_value(text), avg(offensive) y from '{sf}/documents.parquet' join '{sf}/speech_labels.parquet' using (doc_id) where offensive is not null group by 1 having y <> 0.5 order by hash(doc_id)").fetchall()
+    train, held = [r for k, r in enumerate(rows) if k % 3], rows[::3]
+    machine = abuse.fit([t for _, t, _ in train], [int(y > 0.5) for *_, y in train])
+    found = [bool(len(s := abuse.sentences(t)) and machine.decide(s).max() >= machine.cut) for _, t, _ in held]
+    true = [y > 0.5 for *_, y in held]
+    hits = sum(f and y for f, y in zip(found, true, strict=True))
+    assert hits >= 0.5 * sum(true) and hits >= 0.5 * sum(found)

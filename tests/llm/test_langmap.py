@@ -1,0 +1,58 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from taxaloom.llm import langmap
+from taxaloom.llm.langmap import BKTree, distance, plain
+
+word = st.text(alphabet="abcd", max_size=7)
+
+
+@settings(max_examples=300, deadline=None)
+@given(word, word, word)
+def test_distance_is_a_metric(a, b, c):
+    assert distance(a, b) == distance(b, a) and (distance(a, b) == 0) == (a == b)
+    assert distance(a, c) <= distance(a, b) + distance(b, c)
+
+
+def test_distances():
+    assert [distance(*x) for x in (("ca", "abc"), ("abcd", "acbd"), ("kitten", "sitting"), ("", "ab"))] == [2, 1, 3, 2]
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_tree_against_brute_force(radius):
+    rng = random.Random(radius)
+    entries = [("".join(rng.choices("abc", k=rng.randrange(7))), str(k % 9)) for k in range(300)]
+    tree = BKTree(entries)
+    for _ in range(100):
+        asked = "".join(rng.choices("abc", k=rng.randrange(8)))
+        want = sorted({(distance(asked, t), c, t) for t, c in entries if distance(asked, t) <= radius})
+        assert sorted(tree.within(asked, radius)) == want
+    assert BKTree([]).within("a", 2) == []
+
+
+def test_compared_form():
+    assert [plain(x) for x in ("  ENGLISH ", "German (dialect)", "French, northern", "eng.", "in Danish", "lang=Czech", "language: Thai", "Ｗｅｌｓｈ?", "(x)", "in", None, "")] == ["english", "german", "french", "eng", "danish", "czech", "thai", "welsh", "(x)", "in", "", ""]
+
+
+LANGUAGES = [("eng", "en", "English", ["anglais", "inglés"]), ("deu", "de", "German", ["Deutsch", None]), ("haw", None, "Hawaiian", []), ("slk", "sk", "Slovak", None), ("slv", "sl", "Slovene", [])]
+
+
+@pytest.mark.parametrize(("shard_rows", "values_per_task"), [(20_000, 2_000), (3, 2)])
+def test_shards_agree(spark, shard_rows, values_per_task):
+    languages = spark.createDataFrame(LANGUAGES, "lang_code string, lang_code2 string, language string, alt_names array<string>")
+    values = ["Englsih", "ENG", "en", "Grman", "inglés", "Hawaian", "xx", "unknown", "folk", "Deutsh", "Slovakk", "ger", " "]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    got = {r.value: (r.code, r.edits) for r in langmap.matches(df, langmap.reference_names(languages), shard_rows, values_per_task).collect()}
+    assert got == {"Englsih": ("eng", 1), "ENG": ("eng", 0), "en": ("eng", 0), "Grman": ("deu", 1), "inglés": ("eng", 0), "Hawaian": ("haw", 1), "Deutsh": ("deu", 1), "Slovakk": ("slk", 1)}
+
+
+def test_rows(spark):
+    languages = spark.createDataFrame(LANGUAGES, "lang_code string, lang_code2 string, language string, alt_names array<string>")
+    rows = [("English", "eng"), ("English", "deu"), ("english", "eng"), ("", "DEU "), (None, None), ("folk", "xx"), ("folk", "sk"), ("folk", "sk"), ("", "")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, language string, lang_code string")
+    got = [(r.means, r.exact) for r in langmap.mapped(df, languages).orderBy("k").collect()]
+    assert got == [("eng", True), ("eng", False), ("eng", False), ("deu", False), ("", False), ("", False), ("slk", False), ("slk", False), ("", False)]
+    assert langmap.mapped(df.limit(0), languages).collect() == [] and {r.means for r in langmap.mapped(df, languages.limit(0)).collect()} == {""}
