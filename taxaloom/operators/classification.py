@@ -45,12 +45,12 @@ def breadcrumbs(taxa: DataFrame, prefer_flat: bool = False) -> DataFrame:
 
 def unfolded(index: DataFrame) -> DataFrame:
     """Each rank's name and the parent's id from packed classifications; of a rank named twice the last name holds."""
-    names, ranks, ids = (F.split(F.coalesce(c, F.lit("")), r"\|") for c in ("classification", "classification_ranks", "classification_ids"))
-    zipped = F.arrays_zip(ranks.alias("r"), names.alias("n"))
+    names, ranks, ids = (F.split(F.coalesce(c, F.lit("")), r"\|") for c in ("classification", F.lower("classification_ranks"), "classification_ids"))
+    rows = index.select("data_source_id", "record_id", names.alias("n"), F.reverse(ranks).alias("r"), ids.alias("i"))
 
     def at(rank: str) -> Column:
-        hits = F.filter(zipped, lambda z: F.lower(z["r"]) == rank)
-        return F.when(F.size(hits) > 0, F.nullif(F.element_at(hits, -1)["n"], F.lit("")))
+        place = F.array_position("r", F.lit(rank))  # from the end: the last name holds
+        return F.when(place > 0, F.nullif(F.get("n", (F.size("r") - place).cast("int")), F.lit("")))
 
-    parent = F.nullif(F.try_element_at(ids, F.lit(-2)), F.lit(""))
-    return index.select("data_source_id", "record_id", *(at(r).alias(f"name_{r}") for r in FLAT_RANKS), parent.alias("parent_id"))
+    parent = F.nullif(F.try_element_at("i", F.lit(-2)), F.lit(""))
+    return rows.select("data_source_id", "record_id", *(at(r).alias(f"name_{r}") for r in FLAT_RANKS), parent.alias("parent_id"))
