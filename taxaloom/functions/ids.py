@@ -45,5 +45,5 @@ def uuid_text(c: Column) -> Column:
 def uuid5(text: Column) -> Column:
     """UUIDv5 of ``text`` in the catalogue's namespace, by built-in functions only; null for null."""
     digest = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE)), F.encode(text, "UTF-8")))
-    variant = F.lower(F.hex(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8).cast("long")))
-    return dashed(F.concat(F.substring(digest, 1, 12), F.lit("5"), F.substring(digest, 14, 3), variant, F.substring(digest, 18, 15)))
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
+    return F.regexp_replace(F.overlay(digest, variant, 17, 1), "^(.{8})(.{4}).(.{3})(.{4})(.{12}).*$", "$1-$2-5$3-$4-$5")

@@ -34,31 +34,42 @@ def stem(word: Column) -> Column:
     return F.regexp_replace(word, f"^(.{{2,}}?)(?:{ENDINGS})$", "$1")
 
 
-def parsed(name: Column) -> dict[str, Column]:
-    """Columns of a parsed name by what they hold."""
-    text = F.btrim(F.regexp_replace(name, r"\s+", " "))
-    genus, epithet = F.regexp_extract(text, GENUS, 1), F.regexp_extract(text, SPECIES, 2)
-    marked, bare = F.regexp_extract(text, THIRD, 2), F.regexp_extract(text, BARE_THIRD, 2)
-    infra = F.when(epithet == "", F.lit("")).otherwise(F.when(marked != "", marked).otherwise(bare))
-    marker = F.when((epithet != "") & (marked != ""), F.regexp_extract(text, r" (" + _MARK + r") " + _EPITHET + r"(?: |,|$)", 1)).otherwise(F.lit(""))
-    virus, surrogate = F.coalesce(text.rlike(VIRUS), F.lit(False)), F.coalesce(text.rlike(UNFINISHED), F.lit(False))
-    ok = F.coalesce((genus != "") & ~virus, F.lit(False))
-    join = lambda *parts: F.array_join(F.filter(F.array(*parts), lambda p: p != ""), " ")
-    simple = F.when(ok, F.when(surrogate, genus).otherwise(join(genus, epithet, infra)))
-    full = F.when(ok & ~surrogate & (marker != ""), join(genus, epithet, marker, infra))
-    stemmed = F.when(ok & ~surrogate & (epithet != ""), join(genus, stem(epithet), F.when(infra != "", stem(infra)).otherwise(F.lit(""))))
-    cardinality = F.when(ok & ~surrogate, F.lit(1) + (epithet != "").cast("int") + (infra != "").cast("int"))
-    year = F.when(ok, F.regexp_extract(text, YEAR, 1).try_cast("smallint"))
-    odd = text.rlike(r"[^\p{L}0-9 .,&()\x27-]") | (text != name)
-    quality = F.when(~ok & ~virus, F.lit(0)).when(surrogate, F.lit(3)).when(odd, F.lit(2)).otherwise(F.lit(1))
-    return {"simple": simple, "full": full, "stem": stemmed, "cardinality": cardinality, "year": year, "virus": virus, "surrogate": surrogate, "quality": F.coalesce(quality, F.lit(0))}
+PARTS = ("simple", "full", "stem", "cardinality", "year", "virus", "surrogate", "quality")
+
+
+def parsed(df: DataFrame, name: str, prefix: str = "parsed_") -> DataFrame:
+    """``df`` with the parts of a name. Done in steps, so that each expression is evaluated once."""
+    columns, p = df.columns, lambda part: F.col(f"_p_{part}")
+    text = F.btrim(F.regexp_replace(F.col(name), r"\s+", " "))
+    step = df.withColumn("_p_text", text)
+    step = step.withColumns({
+        "_p_genus": F.regexp_extract("_p_text", GENUS, 1), "_p_epithet": F.regexp_extract("_p_text", SPECIES, 2),
+        "_p_virus": F.coalesce(p("text").rlike(VIRUS), F.lit(False)), "_p_surrogate": F.coalesce(p("text").rlike(UNFINISHED), F.lit(False)),
+    })
+    many = p("epithet") != ""
+    step = step.withColumns({"_p_marked": F.when(many, F.regexp_extract("_p_text", THIRD, 2)).otherwise(""), "_p_ok": F.coalesce((p("genus") != "") & ~p("virus"), F.lit(False))})
+    step = step.withColumns({
+        "_p_infra": F.when(p("marked") != "", p("marked")).when(many, F.regexp_extract("_p_text", BARE_THIRD, 2)).otherwise(""),
+        "_p_marker": F.when(p("marked") != "", F.regexp_extract("_p_text", r" (" + _MARK + r") " + _EPITHET + r"(?: |,|$)", 1)).otherwise(""),
+    })
+    join = lambda *parts: F.array_join(F.array_compact(F.array(*(F.nullif(x, F.lit("")) for x in parts))), " ")
+    ok, finished = p("ok"), p("ok") & ~p("surrogate")
+    odd = p("text").rlike(r"[^\p{L}0-9 .,&()\x27-]") | (p("text") != F.col(name))
+    made = {
+        "simple": F.when(finished, join(p("genus"), p("epithet"), p("infra"))).when(ok, p("genus")),
+        "full": F.when(finished & (p("marker") != ""), join(p("genus"), p("epithet"), p("marker"), p("infra"))),
+        "stem": F.when(finished & many, join(p("genus"), stem(p("epithet")), stem(p("infra")))),
+        "cardinality": F.when(finished, F.lit(1) + many.cast("int") + (p("infra") != "").cast("int")),
+        "year": F.when(ok, F.regexp_extract("_p_text", YEAR, 1).try_cast("smallint")),
+        "virus": p("virus"), "surrogate": p("surrogate"),
+        "quality": F.coalesce(F.when(~ok & ~p("virus"), F.lit(0)).when(p("surrogate"), F.lit(3)).when(odd, F.lit(2)).otherwise(F.lit(1)), F.lit(0)),
+    }
+    return step.select(*columns, *(made[k].alias(f"{prefix}{k}") for k in PARTS))
 
 
 def parse(df: DataFrame, name: str = "name") -> DataFrame:
     """``df`` with ``parsed_…`` columns and the ids of the canonical forms."""
-    p = {f"parsed_{k}": c for k, c in parsed(F.col(name)).items()}
-    with_ids = {f"parsed_{k}_id": uuid5(F.col(f"parsed_{k}")) for k in ("simple", "full", "stem")}
-    return df.withColumns(p).withColumns(with_ids)
+    return parsed(df, name).withColumns({f"parsed_{k}_id": uuid5(F.col(f"parsed_{k}")) for k in ("simple", "full", "stem")})
 
 
 def changed(df: DataFrame) -> DataFrame:
@@ -73,13 +84,13 @@ def changed(df: DataFrame) -> DataFrame:
 
 def words(df: DataFrame, key: str = "id", name: str = "name") -> DataFrame:
     """Epithets and author words of finished names: ``key, normalized, modified, type, word_id``, one row for each."""
-    p = parsed(F.col(name))
-    parts = F.split(p["simple"], " ")
+    named = parsed(df.select(key, name), name, "_")
+    parts = F.split("_simple", " ")
     of = lambda word, kind, mod: F.struct(word.alias("normalized"), mod.alias("modified"), F.lit(kind).alias("type"))
     epithets = F.transform(F.slice(parts, 2, 9), lambda w, k: of(w, 0, stem(w)).withField("type", F.when(k == 0, F.lit(2)).otherwise(F.lit(3))))
     authorship = F.regexp_extract_all(F.col(name), F.lit(r"(?:^|[ (.])(\p{Lu}[\p{L}'-]+)"), F.lit(1))
     authors = F.transform(F.slice(authorship, 2, 99), lambda w: of(w, 4, F.lower(w)))
-    fine = p["simple"].isNotNull() & ~p["surrogate"] & ~F.col(name).rlike(r"(?:^|\s)[x\xD7]\s")
-    rows = df.where(fine).select(key, F.explode(F.array_distinct(F.concat(epithets, authors))).alias("w"))
+    fine = F.col("_simple").isNotNull() & ~F.col("_surrogate") & ~F.col(name).rlike(r"(?:^|\s)[x\xD7]\s")
+    rows = named.where(fine).select(key, F.explode(F.array_distinct(F.concat(epithets, authors))).alias("w"))
     made = rows.select(key, "w.normalized", "w.modified", F.col("w.type").alias("type_id"))
     return made.withColumn("word_id", uuid5(F.concat_ws("|", "modified", F.col("type_id").cast("string"))))
