@@ -25,6 +25,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -40,36 +41,44 @@ MEMO = 300_000
 
 # Digits and signs written for letters.
 LEET = str.maketrans("013457@$", "oieastas")
-SPACED = re.compile(r"(?<!\w)[^\W_](?:[\W_]{1,2}[^\W_]){2,}(?!\w)")
+SPACED = re.compile(r"\b[^\W_](?:[\W_]{1,2}[^\W_]\b){2,}")
+MARKS = re.compile("[\u0300-\u036f]+")
 CUT = re.compile(r"(?<=[.!?;:…])[\s*]+|[\n\r]+|\s+[—–-]+\s+|[\[\](){}«»“”„\"¡¿]")
-WORD = re.compile(r"[\w*#]+")
+WORD = re.compile(r"[\w*#@$]*[^\W\d_][\w*#@$]*")
+LONG = re.compile(r"([^\W\d_])\1{2,}")
+CODED = re.compile(r"[013457@$]")
 
 
 def folded(text: str) -> str:
     """Look-alikes and invisible characters resolved, lower case, without accents, spaced-out words joined, long repeats cut."""
-    out = text.translate(_table()).casefold()
-    out = "".join(c for c in unicodedata.normalize("NFD", out) if not unicodedata.combining(c))
+    if text.isascii():
+        out = text.replace("'", "").lower()
+    else:
+        out = unicodedata.normalize("NFD", _plain(text).casefold())
+        out = MARKS.sub("", out)
     out = SPACED.sub(lambda m: "".join(c for c in m[0] if c.isalnum()), out)
-    return re.sub(r"([^\W\d_])\1{2,}", r"\1", out)
+    return LONG.sub(r"\1", out)
 
 
-_tables: list[dict[int, str]] = []
+@cache
+def _mapped() -> dict[str, str]:
+    return {k: v for k, v in mapping().items() if k != "\n"} | {"'": "", "’": ""}
 
 
-def _table() -> dict[int, str]:
-    if not _tables:
-        _tables.append({ord(k): v for k, v in mapping().items() if k != "\n"} | {ord("'"): "", ord("’"): ""})
-    return _tables[0]
+def _plain(text: str) -> str:
+    """``text`` with its different characters, of which there are few, replaced one by one."""
+    table = _mapped()
+    for c in set(text) & table.keys():
+        text = text.replace(c, table[c])
+    return text
 
 
 def sentences(text: str | None) -> list[list[str]]:
     """The words of each sentence."""
     out = []
     for part in CUT.split(folded(text or "")):
-        words = [w.translate(LEET) if any(c.isalpha() for c in w) else w for w in WORD.findall(part)]
-        words = [w for w in words if any(c.isalpha() for c in w)]
-        if words:
-            out.append(words)
+        if words := WORD.findall(part):
+            out.append([w.translate(LEET) for w in words] if CODED.search(part) else words)
     return out
 
 
@@ -113,7 +122,8 @@ class WordSpace:
     landmarks: list[str]
     norms: np.ndarray = field(init=False)
     root: np.ndarray = field(init=False)
-    memo: dict[str, np.ndarray] = field(default_factory=dict)
+    memo: dict[str, int] = field(default_factory=dict)  # words by their row in table
+    table: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         strings = [marked(w) for w in self.landmarks]
@@ -123,29 +133,36 @@ class WordSpace:
         top = np.argsort(-values)[:WORD_DIMS]
         top = top[values[top] > 1e-3]
         self.root = vectors[:, top] / np.sqrt(values[top])
+        self.table = np.zeros((0, len(top)), np.float32)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"memo": {}, "table": self.table[:0]}
 
     def learn(self, words: Sequence[str]) -> None:
         """Vectors of new words, in batches of similar length."""
         new = sorted({w for w in words if w not in self.memo}, key=len)
         if len(self.memo) + len(new) > MEMO:
             self.memo.clear()
+            self.table = self.table[:0]
             new = sorted(set(words), key=len)
-        strings = [marked(w) for w in self.landmarks]
+        strings, made = [marked(w) for w in self.landmarks], [self.table]
         for at in range(0, len(new), 128):
             part = new[at : at + 128]
             k = subsequence_kernel([marked(w) for w in part], strings)
             own = np.sqrt(np.maximum(_self_norms(part), 1e-12))
-            self.memo.update(zip(part, ((k / own[:, None] / self.norms[None, :]) @ self.root).astype(np.float32), strict=True))
+            made.append(((k / own[:, None] / self.norms[None, :]) @ self.root).astype(np.float32))
+            for w in part:
+                self.memo[w] = len(self.memo)
+        self.table = np.concatenate(made) if new else self.table
 
     def embed(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
         """Unit vectors of sentences: sums over their words."""
         self.learn([w for r in rows for w in r])
         out = np.full((len(rows), self.width), UNKNOWN, np.float32)  # the last place stands for words unlike all landmarks
-        for k, r in enumerate(rows):
-            out[k, :-1] = sum(self.memo[w] for w in r)
+        for at in range(0, len(rows), 1024):
+            part = rows[at : at + 1024]
+            ends = np.cumsum([0, *map(len, part)])[:-1]
+            out[at : at + 1024, :-1] = np.add.reduceat(self.table[[self.memo[w] for r in part for w in r]], ends, axis=0)
         return out / np.linalg.norm(out, axis=1, keepdims=True)
 
     @property

@@ -15,7 +15,6 @@ length are treated whole; extra columns stay unless named like the result.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -72,8 +71,8 @@ def mapping() -> dict[str, str]:
             return "".join(form(chr(int(x, 16))) for x in rest.split())
         return ch
 
-    for cp in range(sys.maxunicode + 1):
-        if not 0xD800 <= cp <= 0xDFFF and (new := form(chr(cp))) != chr(cp):
+    for cp in (*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE1000)):  # the planes in use
+        if (new := form(chr(cp))) != chr(cp):
             out[chr(cp)] = new
     return out
 
@@ -81,7 +80,7 @@ def mapping() -> dict[str, str]:
 def mapping_table(spark: SparkSession) -> DataFrame:
     """``ch, parts`` (character and combining class): code points that change, and combining marks. Its size is bounded by Unicode's tables."""
     changed = mapping()
-    marks = {chr(cp): chr(cp) for cp in range(0x300, sys.maxunicode + 1) if unicodedata.combining(chr(cp)) and chr(cp) not in changed}
+    marks = {chr(cp): chr(cp) for cp in range(0x300, 0x20000) if unicodedata.combining(chr(cp)) and chr(cp) not in changed}
     rows = pd.DataFrame([(ch, new) for ch, new in (changed | marks).items()], columns=["ch", "new"])
     parts = lambda new: [{"c": c, "cls": unicodedata.combining(c)} for c in new]
     rows["parts"] = [parts(new) for new in rows.pop("new")]
