@@ -29,15 +29,19 @@ def flat_nodes() -> Column:
     return F.filter(F.array(*nodes), lambda n: F.coalesce(n["name"], F.lit("")) != "")
 
 
-def breadcrumbs(taxa: DataFrame, prefer_flat: bool = False) -> DataFrame:
-    """``data_source_id, id, names, ranks, ids``: the path joined by ``|``; below two nodes the flat ranks come first."""
+def breadcrumbs(taxa: DataFrame, prefer_flat: bool | Column = False) -> DataFrame:
+    """``data_source_id, id, names, ranks, ids``: the path joined by ``|``; below two nodes the flat ranks come first.
+
+    Where ``prefer_flat`` holds (for all, or by a condition on ``data_source_id``) only the flat ranks count.
+    """
     rows = holding_rows(taxa)
     own = rows.select(F.col("data_source_id").alias("_s"), F.col("id").alias("_i"), F.struct(F.coalesce("col__scientific_name", F.lit("")).alias("name"), F.coalesce(F.lower("col__rank_id"), F.lit("")).alias("rank"), F.col("id").alias("id")).alias("_node"))
     steps = paths(taxa).select("grp", "id", F.posexplode("path").alias("at", "step"))
     walked = steps.join(own, F.expr("grp <=> _s and step = _i")).groupBy("grp", "id").agg(F.sort_array(F.collect_list(F.struct("at", "_node"))).alias("p"))
     walked = walked.select(F.col("grp").alias("_s"), F.col("id").alias("_i"), F.transform("p", lambda x: x["_node"]).alias("path"))
     joined = rows.join(walked, F.expr("data_source_id <=> _s and id = _i"), "left")
-    path = F.array().cast(_NODE) if prefer_flat else F.coalesce("path", F.array().cast(_NODE))
+    nothing = F.array().cast(_NODE)
+    path = F.when(F.lit(prefer_flat), nothing).otherwise(F.coalesce("path", nothing))
     chosen = F.when(F.size(path) < 2, F.concat(flat_nodes().cast(_NODE), path)).otherwise(path)
     nodes = joined.select("data_source_id", "id", chosen.alias("n"))
     return nodes.select("data_source_id", "id", *(F.array_join(F.col(f"n.{k}"), "|").alias(f"{k}s") for k in ("name", "rank", "id")))

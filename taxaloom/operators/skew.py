@@ -44,7 +44,7 @@ def tree_aggregate(df: DataFrame, keys: Sequence[str], states: dict[str, tuple[s
 def distinct_counts(df: DataFrame, keys: Sequence[str], of: str, name: str, **sizes: int) -> DataFrame:
     """Exact number of different values of ``of`` per key. Values are made distinct by key *and* value, which spreads a large key."""
     pairs = df.where(F.col(of).isNotNull()).select(*keys, of).distinct()
-    return tree_aggregate(pairs, keys, {name: ("sum", F.lit(1).cast("long"))}, **sizes)
+    return tree_aggregate(pairs, keys, {name: ("sum", F.lit(1).cast("long"))}, rows=df.count(), **sizes)
 
 
 def heavy_keys(df: DataFrame, key: str, share: float, **sizes: int) -> DataFrame:

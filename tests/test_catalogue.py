@@ -138,6 +138,8 @@ def test_breadcrumbs(spark):
     assert got["x"] == ("", "", "")
     flat = {r.id: r.names for r in classification.breadcrumbs(df, prefer_flat=True).collect()}
     assert flat["3"] == "Plantae|Rosaceae"
+    by_source = {r.id: r.names for r in classification.breadcrumbs(df, F.col("data_source_id") == 2).collect()}
+    assert by_source["3"] == "Plantae|Rosaceae|Rosa"
 
 
 def test_unfolded(spark):
@@ -202,3 +204,14 @@ def test_compared(spark):
     s = audit.compared_samples(a, b, "k", ["t"], [], 5)
     assert {(r.k, r.place, r.same) for r in s.collect()} == {(1, 1, True), (1, 2, False), (None, 1, False), (2, 1, False)}
     assert {(r.k, r.same) for r in audit.summary(s, "k").collect()} == {(1, False), (None, False), (2, False)}
+
+
+def test_stored_lookup_table(spark):
+    view = spark.range(100).select(F.col("id").cast("string").alias("canonical_id"), F.col("id").alias("n"))
+    verification.write_verification(view, "stored_view", buckets=4)
+    maintain.statistics(spark, "stored_view")
+    stored = spark.table("stored_view")
+    plan = stored.groupBy("canonical_id").count()._jdf.queryExecution().toString()
+    assert stored.count() == 100 and "Exchange hashpartitioning(canonical_id" not in plan
+    assert verification.lookup(stored, spark.createDataFrame([("7",), (None,), ("x",)], "canonical_id string"), "canonical_id").count() == 1
+    spark.sql("drop table stored_view")
