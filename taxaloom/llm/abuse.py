@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.llm.lookalike import mapping
 
-MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 4_000, 400, 800, 40_000, 12_000, 200
+MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 6_000, 400, 800, 40_000, 12_000, 200
 LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR, LEAD = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.74, 0.07
 NO_SENTENCE = -9.0
 MEMO = 300_000
