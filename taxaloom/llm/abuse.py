@@ -49,6 +49,10 @@ LONG = re.compile(r"([^\W\d_])\1{2,}")
 CODED = re.compile(r"[013457@$]")
 
 
+def _joined(m: re.Match[str]) -> str:
+    return "".join(c for c in m[0] if c.isalnum())
+
+
 def folded(text: str) -> str:
     """Look-alikes and invisible characters resolved, lower case, without accents, spaced-out words joined, long repeats cut."""
     if text.isascii():
@@ -56,7 +60,7 @@ def folded(text: str) -> str:
     else:
         out = unicodedata.normalize("NFD", _plain(text).casefold())
         out = MARKS.sub("", out)
-    out = SPACED.sub(lambda m: "".join(c for c in m[0] if c.isalnum()), out)
+    out = SPACED.sub(_joined, out)
     return LONG.sub(r"\1", out)
 
 
@@ -73,13 +77,21 @@ def _plain(text: str) -> str:
     return text
 
 
+def parts(text: str | None) -> list[str]:
+    """The sentences of a text as they stand, spaced-out words joined."""
+    return [p for p in CUT.split(SPACED.sub(_joined, text or "")) if p]
+
+
+def tokens(part: str) -> list[str]:
+    """The words of a sentence, folded."""
+    low = folded(part)
+    words = WORD.findall(low)
+    return [w.translate(LEET) for w in words] if CODED.search(low) else words
+
+
 def sentences(text: str | None) -> list[list[str]]:
-    """The words of each sentence."""
-    out = []
-    for part in CUT.split(folded(text or "")):
-        if words := WORD.findall(part):
-            out.append([w.translate(LEET) for w in words] if CODED.search(part) else words)
-    return out
+    """The words of each sentence that has any."""
+    return [words for p in parts(text) if (words := tokens(p))]
 
 
 def subsequence_kernel(left: Sequence[str], right: Sequence[str], length: int = LENGTH, decay: float = DECAY) -> np.ndarray:
@@ -223,6 +235,7 @@ class Machine:
     root: np.ndarray
     w: np.ndarray
     cut: float = 0.0
+    seen: dict[str, float] = field(default_factory=dict)
 
     def features(self, e: np.ndarray) -> np.ndarray:
         return np.concatenate([np.zeros((0, self.root.shape[1]), np.float32), *((np.exp(WIDTH * (e[k : k + 1024] @ self.points.T - 1)) @ self.root).astype(np.float32) for k in range(0, len(e), 1024))])
@@ -235,6 +248,18 @@ class Machine:
     def decide(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
         return self.values(self.space.embed(rows))
 
+    def score(self, texts: Sequence[str | None]) -> np.ndarray:
+        """The greatest decision value of each text's sentences; a sentence seen before isn't evaluated again."""
+        cut = [parts(t) for t in texts]
+        if len(self.seen) > MEMO:
+            self.seen.clear()
+        new = {p: w for d in cut for p in d if p not in self.seen and (w := tokens(p) or None) is not None}
+        names = list(new)
+        for at in range(0, len(names), 2048):
+            some = names[at : at + 2048]
+            self.seen.update(zip(some, self.decide([new[p] for p in some]).tolist(), strict=True))
+        return np.array([max((self.seen.get(p, NO_SENTENCE) for p in d), default=NO_SENTENCE) for d in cut])
+
 
 def _landmark_words(docs: Sequence[list[list[str]]], y: np.ndarray) -> list[str]:
     seen, bad = Counter(), Counter()
@@ -348,15 +373,7 @@ def scored(documents: DataFrame, labels: DataFrame, keep: Sequence[str] = ("doc_
             _machines[number] = shared.value
         m = _machines[number]
         for pdf in batches:
-            score = np.full(len(pdf), NO_SENTENCE)
-            if m is not None:
-                docs = [sentences(t) for t in pdf["text"]]
-                sizes = np.array([len(d) for d in docs])
-                flat = [s for d in docs for s in d]
-                if flat:
-                    values = np.concatenate([m.decide(flat[k : k + 4096]) for k in range(0, len(flat), 4096)])
-                    some = np.flatnonzero(sizes)
-                    score[some] = np.maximum.reduceat(values, np.concatenate([[0], np.cumsum(sizes[some])[:-1]]))
+            score = m.score(list(pdf["text"])) if m is not None else np.full(len(pdf), NO_SENTENCE)
             yield pdf[list(keep)].assign(score=score, offensive=score >= (m.cut if m is not None else math.inf))
 
     rows = documents.select(*keep, *(["text"] if "text" not in keep else []))
