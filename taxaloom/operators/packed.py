@@ -176,7 +176,7 @@ def values(df: DataFrame, keys: Sequence[str], fields: Sequence[str], only_untid
     """
     rows = df.select(*keys, *fields)
     bars = [F.when(F.col(f) != "", F.size(F.split(f, r"\|"))) for f in fields]
-    unlike = F.coalesce(F.greatest(*bars) != F.least(*bars), F.lit(False)) & F.exists(F.array(*fields), lambda x: x.rlike("[,/]"))
+    unlike = F.coalesce((F.greatest(*bars) != F.least(*bars)) & F.exists(F.array(*fields), lambda x: x.rlike("[,/]")), F.lit(False))  # null beside a null field
     odd = F.exists(F.array(*(untidy(F.col(f)) for f in fields)), lambda x: x) | unlike
     marked = rows.withColumn("_odd", odd)
     hard = marked.where("_odd").withColumn("_row", F.xxhash64(*fields))

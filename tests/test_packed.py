@@ -75,3 +75,12 @@ def test_tidy_fields_are_never_odd(spark):
     for r in df.collect():
         if not r.u:
             assert "|".join(split_values([r.c])[0]) == r.c, r.c
+
+
+def test_a_null_field_beside_unequal_counts(spark):
+    """With one null field, no comma or slash, and unequal counts in the others, all values come out."""
+    rows = [(1, "n", "A|B|C", "k|f", None), (1, "m", None, "k|f", "1"), (1, "e", "A|B|C", "k|f", ""), (1, "s", "A|B, x|C", "k|f", None), (1, "0", None, None, None)]
+    got = sorted((r.record_id, r.field, r.pos, r.value) for r in packed.values(spark.createDataFrame(rows, SCHEMA), ["data_source_id", "record_id"], FIELDS).collect())
+    three, two = [("c", 1, "A"), ("c", 2, "B"), ("c", 3, "C")], [("r", 1, "k"), ("r", 2, "f")]
+    want = [("n", *v) for v in three + two] + [("e", *v) for v in three + two] + [("m", *v) for v in [*two, ("i", 1, "1")]]
+    assert got == sorted([*want, ("s", "c", 1, "A"), ("s", "c", 2, "B, x"), ("s", "c", 3, "C"), *(("s", *v) for v in two)])
