@@ -1,7 +1,8 @@
 """Differences between two copies of a table, by a column-by-bucket checksum matrix.
 
 Each copy gives, per key bucket and column, an additive wide checksum (the sum of 128-bit hashes of key and value). Only
-buckets with an unequal checksum are read again, joined by key, and only columns unequal somewhere are compared.
+buckets with an unequal checksum are read again, joined by key, and only columns unequal somewhere are compared. Which of
+tied rows with different values holds can't be told from hashes: a bucket with such a tie counts as unequal in all columns.
 
 Defined cases: of several rows of a key the one with the latest ``loaded_at`` holds (null is earliest), of ties the one
 with the greatest values; null equals only null; null keys are keys like any other; a blank id is the id ``''``; repeated
@@ -25,34 +26,39 @@ def _wide(key: Sequence[Column], value: Column) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *key, value.isNull(), value) for seed in WORDS]
 
 
-def latest(df: DataFrame, keys: Sequence[str], values: Sequence[str], at: str) -> DataFrame:
-    """The holding row of each key."""
-    held = df.groupBy(*keys).agg(F.max(F.struct(at, *values)).alias("_held"))
-    return held.select(*keys, *(F.col(f"_held.{v}").alias(v) for v in values))
-
-
 def digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], at: str, buckets: int) -> DataFrame:
-    """Of the holding row of each key: its bucket and, per column, the hash of key and value. Texts stay where they are."""
+    """Of the latest row of each key: its bucket and, per column, the hash of key and value. Texts stay where they are.
+
+    ``_tied`` tells that the latest rows differ in values: then the least hash of a whole row isn't the greatest.
+    """
     key = [F.col(k) for k in keys]
+    names = [f"{c}_{s}" for c in columns for s in range(len(WORDS))]
     hashed = df.select(*keys, at, *(h.alias(f"{c}_{s}") for c in columns for s, h in enumerate(_wide(key, F.col(c)))))
-    return latest(hashed, keys, [f"{c}_{s}" for c in columns for s in range(len(WORDS))], at).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    whole = [f"_whole_{s}" for s in WORDS]
+    hashed = hashed.select("*", *(F.xxhash64(F.lit(s), *names).alias(w) for s, w in zip(WORDS, whole, strict=True)))
+    held = hashed.groupBy(*keys).agg(F.max(F.struct(at, *whole, *names)).alias("_most"), F.max(F.struct(at, *(F.bitwise_not(w).alias(w) for w in whole))).alias("_least"))
+    tied = F.lit(False)
+    for w in whole:
+        tied = tied | (F.col(f"_most.{w}") != F.bitwise_not(F.col(f"_least.{w}")))
+    return held.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"), tied.alias("_tied"), *(F.col(f"_most.{n}").alias(n) for n in names))
 
 
 def matrix(digest: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per bucket: number of keys and each column's checksum, as sums of 32-bit halves, which can't overflow."""
+    """One row per bucket: number of keys, whether any is tied, and each column's checksum, as sums of 32-bit halves, which can't overflow."""
     sums = []
     for c in columns:
         for s in range(len(WORDS)):
             word = F.col(f"{c}_{s}")
             sums += [F.sum(word.bitwiseAND(0xFFFFFFFF)).alias(f"{c}_{s}_low"), F.sum(F.shiftrightunsigned(word, 32)).alias(f"{c}_{s}_high")]
-    return digest.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return digest.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.max("_tied").alias("_tied"), *sums)
 
 
 def unequal(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Buckets whose checksums differ, with a flag for each column; a bucket in one copy only differs in all."""
+    """Buckets whose checksums differ, with a flag for each column; a bucket in one copy only, or with a tie, differs in all."""
     names = [f"{c}_{s}_{half}" for c in columns for s in range(len(WORDS)) for half in ("low", "high")]
     both = a.alias("a").join(b.alias("b"), F.col("a._bucket") == F.col("b._bucket"), "full")
-    differs = {c: ~F.expr(" and ".join(f"(a.{n} <=> b.{n})" for n in names if n.startswith(f"{c}_") and n[len(c) + 1] in "01")) for c in columns}
+    tied = F.coalesce("a._tied", F.lit(False)) | F.coalesce("b._tied", F.lit(False))
+    differs = {c: tied | ~F.expr(" and ".join(f"(a.{n} <=> b.{n})" for n in names if n.startswith(f"{c}_") and n[len(c) + 1] in "01")) for c in columns}
     marked = both.select(F.coalesce("a._bucket", "b._bucket").alias("_bucket"), (~F.expr("a.n <=> b.n")).alias("_n"), *(d.alias(c) for c, d in differs.items()))
     return marked.where(" or ".join(["_n", *columns]))
 
@@ -71,9 +77,10 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequen
     here = bad.select("_bucket", *(F.col(c).alias(f"_{c}") for c in columns))
 
     def again(df: DataFrame) -> DataFrame:
-        """The rows of unequal buckets, with the values of the columns that are unequal there."""
+        """The holding rows of unequal buckets, with the values of the columns that are unequal there; all columns decide which row holds."""
         rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).join(here, "_bucket")
-        return latest(rows.select("_bucket", *keys, at, *(F.when(F.col(f"_{c}"), F.col(c)).alias(c) for c in columns)), ["_bucket", *keys], columns, at)
+        held = rows.groupBy("_bucket", *keys).agg(F.max(F.struct(at, *columns)).alias("_held"), *(F.max(f"_{c}").alias(f"_{c}") for c in columns))
+        return held.select("_bucket", *keys, *(F.when(F.col(f"_{c}"), F.col(f"_held.{c}")).alias(c) for c in columns))
 
     x, y = again(a).alias("x"), again(b).alias("y")
     same = F.expr(" and ".join(f"(x.{k} <=> y.{k})" for k in ["_bucket", *keys]))

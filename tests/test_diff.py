@@ -30,3 +30,29 @@ def test_against_brute_force(spark, seed):
     want = [(*k, "only_a", None, None) for k in a if k not in b] + [(*k, c, u, v) for k in b for c, u, v in zip(COLUMNS, a[k], b[k], strict=True) if u != v]
     rows = lambda t: [(*k, *v, None, 0) for k, v in t.items()]
     assert found(spark, rows(a), rows(b)) == sorted(want, key=str) or sorted(found(spark, rows(a), rows(b)), key=str) == sorted(want, key=str)
+
+
+def test_ties_with_different_values(spark):
+    """Of rows tied at the latest loaded_at the one with the greatest values holds, whatever their hashes."""
+    from datetime import datetime as d
+
+    rng = random.Random(5)
+    rows_a, rows_b, want = [], [], []
+    for k in range(200):
+        at = rng.choice([None, d(2024, 1, 1)])
+        low, high = (rng.choice([None, f"a{k}"]), rng.choice([None, "s", "t"])), (f"b{k}", rng.choice([None, "s", "t"]))
+        other = rng.choice([low, high, (f"b{k}", "u")])
+        early = [] if at is None else [(1, f"r{k}", "z", "z", d(2023, 1, 1), 0)]
+        rows_a += [(1, f"r{k}", *v, at, 0) for v in rng.sample([low, high], 2)] + early
+        rows_b += [(1, f"r{k}", *other, at, 0)]
+        want += [(1, f"r{k}", c, u, v) for c, u, v in zip(COLUMNS, high, other, strict=True) if u != v]
+    assert sorted(found(spark, rows_a, rows_b), key=str) == sorted(want, key=str)
+    assert sorted(found(spark, rows_b, rows_a), key=str) == sorted([(*w[:3], w[4], w[3]) for w in want], key=str)
+    assert found(spark, rows_a, rows_a[::-1]) == []
+
+
+def test_the_holding_row_is_chosen_by_all_columns(spark):
+    """A column equal in its whole bucket still decides between tied rows."""
+    a = [(1, "a", "y", "s", None, 0), (1, "a", "x", "t", None, 0)]
+    b = [(1, "a", "y", "r", None, 0)]
+    assert found(spark, a, b) == [(1, "a", "status", "s", "r")]
