@@ -32,10 +32,12 @@ from taxaloom.functions.ids import BLANKS
 HARD, SOFT = ("::", "|", ";", ">", "¦", "｜", "\t"), (",", "/")
 QUOTES = "\"'"
 MARK = r"::|[|;>\x{a6}\x{ff5c}\t,/]"
-#: Fields that are certainly not their values joined by single "|": quotes around a value, other hard marks, blanks around a value, a mark at the end.
+_BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in BLANKS) + "]"
+#: Fields that may be other than their values joined by single "|": quotes around a value, other hard marks, blanks around a value, a mark at the end.
+#: Marks and ends are looked for before blanks, as they are few.
 UNTIDY = (
-    "::|[;>\\x{a6}\\x{ff5c}\\t]|\\A[\\s\\x{a0}\\x{3000}]|[\\s\\x{a0}\\x{3000}|]\\z|[\\s\\x{a0}\\x{3000}]\\||\\|[\\s\\x{a0}\\x{3000}]"
-    "|(?:\\A|[|,/])[\\s]*[\"']|\\A[^|]*[,/][^|]*\\z"
+    f"::|[;>\\x{{a6}}\\x{{ff5c}}\\t]|\\A{_BLANK}|\\z(?<={_BLANK})|\\|(?:{_BLANK}|\\z|(?<={_BLANK}\\|))"
+    f"|(?:\\A|[|,/]){_BLANK}*[\"']|\\A[^|]*[,/][^|]*\\z"
 )
 KNOWN, SINGLE, JOINED = 10, 20, 21  # costs of a cover's parts
 

@@ -84,3 +84,20 @@ def test_a_null_field_beside_unequal_counts(spark):
     three, two = [("c", 1, "A"), ("c", 2, "B"), ("c", 3, "C")], [("r", 1, "k"), ("r", 2, "f")]
     want = [("n", *v) for v in three + two] + [("e", *v) for v in three + two] + [("m", *v) for v in [*two, ("i", 1, "1")]]
     assert got == sorted([*want, ("s", "c", 1, "A"), ("s", "c", 2, "B, x"), ("s", "c", 3, "C"), *(("s", *v) for v in two)])
+
+
+def test_blanks_of_every_kind_reach_the_segmentation(spark):
+    """Whatever is trimmed around values and quotes makes a field untidy."""
+    from taxaloom.functions.ids import BLANKS
+
+    rows, want = [], set()
+    for c in BLANKS:
+        for k, (text, values) in enumerate(
+            [(f"A{c}|B", "AB"), (f"A|{c}B", "AB"), (f"{c}A|B", "AB"), (f"A|B{c}", "AB"), (f'A|{c}"B, c"', ["A", "B, c"]), (f'{c}"A"|B', "AB"), (f"A|{c}'B'{c}|C", "ABC"), (f"A|B|{c}", ["A", "B", ""]), (c, [])]
+        ):
+            if c == "\t":
+                continue  # a delimiter too
+            rows.append((ord(c), str(k), text, None, None))
+            want |= {(ord(c), str(k), p, v) for p, v in enumerate(values, 1)}
+    got = packed.values(spark.createDataFrame(rows, SCHEMA), ["data_source_id", "record_id"], FIELDS, only_untidy=True).collect()
+    assert {(r.data_source_id, r.record_id, r.pos, r.value) for r in got} == want
