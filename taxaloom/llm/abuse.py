@@ -10,8 +10,10 @@ Labels are given to whole documents by annotators who err. A document is labelle
 a document labelled offensive the sentence that carries the label is found by turns of choosing the highest-scored
 sentence and training anew; sentences of other documents that score high although labelled harmless are left out.
 
-The machine is fitted on the driver on at most ``MAX_DOCS`` labelled documents, chosen by a hash of their id; scoring
-runs over all documents and whole texts, in tasks, without a shuffle.
+The machine is fitted on the driver on at most ``MAX_DOCS`` labelled documents, chosen by a hash of their id. Of their
+harmless sentences a random ``POOL`` at most is looked at for hard negatives, ``NEGATIVES`` of these are trained on in a
+turn, and the first choice is made beside ``FIRST`` of them: all are bounds of the training sample. Scoring runs over all
+documents and whole texts, in tasks, without a shuffle.
 
 Defined cases: null, empty and blank texts score ``NO_SENTENCE``; labels that are null or undecided are left out;
 without labels of both kinds every text scores ``NO_SENTENCE``; repeated documents are scored alike.
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.llm.lookalike import mapping
 
-MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, WORD_DIMS = 6_000, 400, 800, 40_000, 12_000, 200
+MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, FIRST, WORD_DIMS = 6_000, 400, 800, 40_000, 12_000, 4_000, 200
 LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR, LEAD = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.74, 0.07
 NO_SENTENCE = -9.0
 MEMO = 300_000
@@ -290,7 +292,7 @@ def _fit(space: WordSpace, y: np.ndarray, e: list[np.ndarray]) -> Machine:
     calm = np.stack([e[good[d]][c - (sizes[d - 1] if d else 0)] for d, c in zip(doc, chosen, strict=True)])
     sample = calm[rng.permutation(len(calm))[:NEGATIVES]]
     # the first choice in an offensive document: the sentence farthest from everything in harmless ones
-    ref = sample[:4000]
+    ref = sample[:FIRST]
     pick = np.stack([e[k][np.argmin((e[k] @ ref.T).max(axis=1))] for k in bad])
     held = np.ones(len(bad), bool)  # documents whose choice is trained on
     machine, value = None, np.ones(len(bad))
