@@ -194,19 +194,27 @@ def _self_norms(words: Sequence[str]) -> np.ndarray:
 
 
 def _diagonal(strings: Sequence[str], length: int = LENGTH, decay: float = DECAY) -> np.ndarray:
+    """The kernel of strings of one length with themselves, row by row: memory grows with the length, not with its square."""
     codes = np.array([[ord(c) for c in s] for s in strings])
     n, size = codes.shape
-    same = (codes[:, :, None] == codes[:, None, :]).astype(np.float32)
-    prefix = np.ones((n, size + 1, size + 1), np.float32)
-    for _ in range(length - 1):
-        nxt = np.zeros_like(prefix)
-        for i in range(size):
-            run = np.zeros(n, np.float32)
-            for j in range(size):
-                run = decay * (run + decay * same[:, i, j] * prefix[:, i, j])
-                nxt[:, i + 1, j + 1] = decay * nxt[:, i, j + 1] + run
-        prefix = nxt
-    return decay**2 * (same * prefix[:, :size, :size]).sum(axis=(1, 2))
+    total = np.zeros(n)
+    # above[l][:, j]: weight of common subsequences of length l that lie in the first i and j characters, as decayed there
+    above = [np.ones((n, size)), *(np.zeros((n, size)) for _ in range(length - 1))]
+    for i in range(size):
+        same = codes[:, i, None] == codes
+        total += (same * above[-1]).sum(axis=1)
+        here = [above[0]]
+        for step in range(1, length):
+            run = decay**2 * same * above[step - 1]
+            width = 1
+            while width < size:  # sums decayed along the row, over twice as many places each time
+                run[:, width:] += decay**width * run[:, :-width]
+                width *= 2
+            row = decay * above[step]
+            row[:, 1:] += run[:, :-1]
+            here.append(row)
+        above = here
+    return decay**2 * total
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 25) -> np.ndarray:

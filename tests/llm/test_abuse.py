@@ -24,6 +24,18 @@ def test_kernel_against_its_definition():
     assert np.allclose(abuse._self_norms(["cretin", "abc", "xyz"]), [plain(f"^{w}$", f"^{w}$") for w in ("cretin", "abc", "xyz")], rtol=1e-5)
 
 
+def test_a_long_word_needs_no_square_of_memory():
+    import tracemalloc
+
+    words = ["".join("abcdefg"[(k * k + s) % 7] for k in range(120)) for s in range(2)]
+    assert np.allclose(abuse._self_norms(words), [abuse.subsequence_kernel([f"^{w}$"], [f"^{w}$"])[0, 0] for w in words], rtol=1e-5)
+    tracemalloc.start()
+    assert np.isfinite(abuse._self_norms(["xyz" * 600])).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000_000
+
+
 def test_folding():
     same = ["cretin", "c-r-e-t-i-n", "C.R.E.T.I.N", "cr3t1n", "crе​tin", "crééétin".replace("ééé", "eee"), "ｃｒｅｔｉｎ"]
     assert {tuple(abuse.sentences(x)[0]) for x in same} == {("cretin",)}
