@@ -87,9 +87,10 @@ def words(df: DataFrame, key: str = "id", name: str = "name") -> DataFrame:
     named = parsed(df.select(key, name), name, "_")
     parts = F.split("_simple", " ")
     of = lambda word, kind, mod: F.struct(word.alias("normalized"), mod.alias("modified"), F.lit(kind).alias("type"))
-    epithets = F.transform(F.slice(parts, 2, 9), lambda w, k: of(w, 0, stem(w)).withField("type", F.when(k == 0, F.lit(2)).otherwise(F.lit(3))))
+    rest = lambda a: F.slice(a, F.lit(2), F.greatest(F.size(a), F.lit(0)))
+    epithets = F.transform(rest(parts), lambda w, k: of(w, 0, stem(w)).withField("type", F.when(k == 0, F.lit(2)).otherwise(F.lit(3))))
     authorship = F.regexp_extract_all(F.col(name), F.lit(r"(?:^|[ (.])(\p{Lu}[\p{L}'-]+)"), F.lit(1))
-    authors = F.transform(F.slice(authorship, 2, 99), lambda w: of(w, 4, F.lower(w)))
+    authors = F.transform(rest(authorship), lambda w: of(w, 4, F.lower(w)))
     fine = F.col("_simple").isNotNull() & ~F.col("_surrogate") & ~F.col(name).rlike(r"(?:^|\s)[x\xD7]\s")
     rows = named.where(fine).select(key, F.explode(F.array_distinct(F.concat(epithets, authors))).alias("w"))
     made = rows.select(key, "w.normalized", "w.modified", F.col("w.type").alias("type_id"))

@@ -109,6 +109,13 @@ def test_words(spark):
     assert {(r.id, r.normalized, r.modified, r.type_id) for r in parse.words(df).collect()} == {("1", "alba", "alb", 2), ("1", "Brüskel", "brüskel", 4), ("1", "Newueff", "newueff", 4)}
 
 
+def test_every_author_is_a_word(spark):
+    """However many authors a name has; a null name has none."""
+    authors = [f"A{chr(97 + k // 26)}{chr(97 + k % 26)}son" for k in range(150)]
+    df = spark.createDataFrame([("1", "Rosa alba " + ", ".join(authors)), ("2", None)], "id string, name string")
+    assert {r.normalized for r in parse.words(df).collect()} == {"alba", *authors}
+
+
 def test_not_in(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
     of = lambda *v: sorted(map(str, (r.x for r in names.not_in(left, "x", spark.createDataFrame([(x,) for x in v], "y string"), "y").collect())))
