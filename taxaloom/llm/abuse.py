@@ -2,18 +2,25 @@
 
 Words are compared by the gap-weighted subsequence kernel over their characters, so that an insult with left-out,
 replaced or inserted characters stays close to itself. Nyström landmarks (words of the labelled sentences) turn it into
-vectors of words; the sum over a sentence's words is the convolution kernel of sentences, normalised and put under a
-Gaussian; landmark sentences turn that into features of a linear machine with squared hinge loss. A document's score is
-the greatest decision value of its sentences, interruptions included.
-
-Labels are given to whole documents by annotators who err. A document is labelled by the majority of its annotators; in
-a document labelled offensive the sentence that carries the label is found by turns of choosing the highest-scored
-sentence and training anew; sentences of other documents that score high although labelled harmless are left out.
-
-The machine is fitted on the driver on at most ``MAX_DOCS`` labelled documents, chosen by a hash of their id. Of their
-harmless sentences a random ``POOL`` at most is looked at for hard negatives, ``NEGATIVES`` of these are trained on in a
-turn, and the first choice is made beside ``FIRST`` of them: all are bounds of the training sample. Scoring runs over all
-documents and whole texts, in tasks, without a shuffle.
+vectors of words; the sum over the words of a sentence (here: what stands between two punctuation marks) is the
+convolution kernel of sentences, normalised and put under a Gaussian; landmark sentences turn that into features of a
+linear machine with squared hinge loss. A document's score is the greatest decision value of its sentences,
+interruptions included.
+
+Labels are given to whole documents by annotators who err. Which sentences carry a label follows from their surroundings
+in the space of sentences: one is taken for offensive if most of what lies near it, each sentence weighted by the
+documents that hold it, comes from other documents labelled offensive; a document without such a sentence gives the one
+farthest from all harmless ones, if there is any. Sentences of harmless documents that lie among offensive ones are left
+out as errors. What stands before a colon only says who speaks and is never taken. The rest of the harmless sentences
+count by the documents that hold them, so that usual phrases stay far below the cut.
+
+The cut is a constant a little below the machine's own boundary, not fitted to the noisy labels: over resampled fits,
+values from -0.4 to 0 gave nearly the same documents.
+
+The machine is fitted on the driver on at most ``MAX_DOCS`` labelled documents, chosen by a hash of their id. All their
+sentences are looked at; of the harmless ones at most ``NEGATIVES`` are trained on (the most frequent, the
+highest-scored and random ones, a third each). These are bounds of the training sample. Scoring runs over all documents
+and whole texts, in tasks, without a shuffle.
 
 Defined cases: null, empty and blank texts score ``NO_SENTENCE``; labels that are null or undecided are left out;
 without labels of both kinds every text scores ``NO_SENTENCE``; repeated documents are scored alike.
@@ -25,7 +32,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cache
 
@@ -36,19 +43,22 @@ from pyspark.sql import functions as F
 
 from taxaloom.llm.lookalike import mapping
 
-MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, POOL, NEGATIVES, FIRST, WORD_DIMS = 6_000, 400, 800, 40_000, 12_000, 4_000, 200
-LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, NEAR, LEAD = 3, 0.5, 3.0, 30.0, 4, 7, 0.7, 0.74, 0.07
+MAX_DOCS, WORD_LANDMARKS, SENTENCE_LANDMARKS, NEGATIVES, WORD_DIMS = 6_000, 400, 800, 12_000, 128
+LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, CUT_AT = 3, 0.5, 2.0, 30.0, 3, 7, 0.7, -0.3
+# Surroundings: how near counts, weight and value of the prior, least weight of others, most harmless weight of a lone sentence.
+REACH, PRIOR_WEIGHT, PRIOR, LEAST, LONE = 0.7, 0.5, 0.35, 0.2, 0.3
 NO_SENTENCE = -9.0
 MEMO = 300_000
 
 # Digits and signs written for letters.
 LEET = str.maketrans("013457@$", "oieastas")
-SPACED = re.compile(r"\b[^\W_](?:[\W_]{1,2}[^\W_]\b){2,}")
+SINGLES = re.compile(r"[\W_][^\W_][\W_]{1,2}[^\W_](?![^\W_])")
+SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[\W_]{1,2}[^\W_](?![^\W_])){2,}")
+GLUED = re.compile(r"[A-Z](?<=[a-z]{3}[A-Z])(?=[a-z\s])")
 MARKS = re.compile("[\u0300-\u036f]+")
-CUT = re.compile(r"(?<=[.!?;:…])[\s*]+|[\n\r]+|\s+[—–-]+\s+|[\[\](){}«»“”„\"¡¿]")
+CUT = re.compile(r"[.!?;…,]+(?:[\s*]+|$)|(?<=:)\s+|[\n\r]+|\s[—–-]+\s|[\[\](){}«»“”„\"¡¿]")
 WORD = re.compile(r"[\w*#@$]*[^\W\d_][\w*#@$]*")
 LONG = re.compile(r"([^\W\d_])\1{2,}")
-CODED = re.compile(r"[013457@$]")
 
 
 def _joined(m: re.Match[str]) -> str:
@@ -56,14 +66,12 @@ def _joined(m: re.Match[str]) -> str:
 
 
 def folded(text: str) -> str:
-    """Look-alikes and invisible characters resolved, lower case, without accents, spaced-out words joined, long repeats cut."""
-    if text.isascii():
-        out = text.replace("'", "").lower()
-    else:
-        out = unicodedata.normalize("NFD", _plain(text).casefold())
-        out = MARKS.sub("", out)
-    out = SPACED.sub(_joined, out)
-    return LONG.sub(r"\1", out)
+    """Look-alikes and invisible characters resolved, lower case, without accents, spaced-out words joined, glued sentences parted."""
+    if not text.isascii():
+        text = _plain(text)
+    text = GLUED.sub(". \\g<0>", text)
+    out = text.replace("'", "").lower() if text.isascii() else MARKS.sub("", unicodedata.normalize("NFD", text.casefold()))
+    return SPACED.sub(_joined, out) if SINGLES.search(f" {out}") else out
 
 
 @cache
@@ -80,15 +88,24 @@ def _plain(text: str) -> str:
 
 
 def parts(text: str | None) -> list[str]:
-    """The sentences of a text as they stand, spaced-out words joined."""
-    return [p for p in CUT.split(SPACED.sub(_joined, text or "")) if p]
+    """The sentences of a text, folded: what stands between two punctuation marks."""
+    return [p for p in CUT.split(folded(text)) if p] if text else []
+
 
+def _word(w: str) -> str:
+    """A word with digits and signs written for letters, underscores and long repeats resolved."""
+    return LONG.sub(r"\1", w.translate(LEET).replace("_", ""))
 
-def tokens(part: str) -> list[str]:
-    """The words of a sentence, folded."""
-    low = folded(part)
-    words = WORD.findall(low)
-    return [w.translate(LEET) for w in words] if CODED.search(low) else words
+
+def tokens(part: str, known: dict[str, str] | None = None) -> list[str]:
+    """The words of a folded sentence; ``known`` keeps words made before."""
+    known = {} if known is None else known
+    out = []
+    for w in WORD.findall(part):
+        if (made := known.get(w)) is None:
+            made = known[w] = _word(w)
+        out.append(made)
+    return out
 
 
 def sentences(text: str | None) -> list[list[str]]:
@@ -149,29 +166,30 @@ class WordSpace:
         self.root = vectors[:, top] / np.sqrt(values[top])
         self.table = np.zeros((0, len(top)), np.float32)
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}, "table": self.table[:0]}
-
-    def learn(self, words: Sequence[str]) -> None:
-        """Vectors of new words, in batches of similar length."""
-        new = sorted({w for w in words if w not in self.memo}, key=len)
+    def learn(self, words: Iterable[str]) -> None:
+        """Vectors of new words, in batches of similar length. The table doubles when it is full and is begun anew at ``MEMO`` words."""
+        every = set(words)
+        new = [w for w in every if w not in self.memo]
         if len(self.memo) + len(new) > MEMO:
             self.memo.clear()
-            self.table = self.table[:0]
-            new = sorted(set(words), key=len)
-        strings, made = [marked(w) for w in self.landmarks], [self.table]
+            new = list(every)
+        new.sort(key=lambda w: (len(w), w))
+        if len(self.memo) + len(new) > len(self.table):
+            larger = np.zeros((2 * (len(self.memo) + len(new)), self.table.shape[1]), np.float32)
+            larger[: len(self.memo)] = self.table[: len(self.memo)]
+            self.table = larger
+        strings = [marked(w) for w in self.landmarks]
         for at in range(0, len(new), 128):
             part = new[at : at + 128]
             k = subsequence_kernel([marked(w) for w in part], strings)
             own = np.sqrt(np.maximum(_self_norms(part), 1e-12))
-            made.append(((k / own[:, None] / self.norms[None, :]) @ self.root).astype(np.float32))
+            self.table[len(self.memo) : len(self.memo) + len(part)] = (k / own[:, None] / self.norms[None, :]) @ self.root
             for w in part:
                 self.memo[w] = len(self.memo)
-        self.table = np.concatenate(made) if new else self.table
 
     def embed(self, rows: Sequence[Sequence[str]]) -> np.ndarray:
         """Unit vectors of sentences: sums over their words."""
-        self.learn([w for r in rows for w in r])
+        self.learn(w for r in rows for w in r)
         out = np.full((len(rows), self.width), UNKNOWN, np.float32)  # the last place stands for words unlike all landmarks
         for at in range(0, len(rows), 1024):
             part = rows[at : at + 1024]
@@ -244,8 +262,9 @@ class Machine:
     points: np.ndarray
     root: np.ndarray
     w: np.ndarray
-    cut: float = 0.0
+    cut: float = CUT_AT
     seen: dict[str, float] = field(default_factory=dict)
+    words: dict[str, str] = field(default_factory=dict)
 
     def features(self, e: np.ndarray) -> np.ndarray:
         return np.concatenate([np.zeros((0, self.root.shape[1]), np.float32), *((np.exp(WIDTH * (e[k : k + 1024] @ self.points.T - 1)) @ self.root).astype(np.float32) for k in range(0, len(e), 1024))])
@@ -260,15 +279,18 @@ class Machine:
 
     def score(self, texts: Sequence[str | None]) -> np.ndarray:
         """The greatest decision value of each text's sentences; a sentence seen before isn't evaluated again."""
-        cut = [parts(t) for t in texts]
-        if len(self.seen) > MEMO:
-            self.seen.clear()
-        new = {p: w for d in cut for p in d if p not in self.seen and (w := tokens(p) or None) is not None}
-        names = list(new)
-        for at in range(0, len(names), 2048):
-            some = names[at : at + 2048]
-            self.seen.update(zip(some, self.decide([new[p] for p in some]).tolist(), strict=True))
-        return np.array([max((self.seen.get(p, NO_SENTENCE) for p in d), default=NO_SENTENCE) for d in cut])
+        out = np.full(len(texts), NO_SENTENCE)
+        for first in range(0, len(texts), 500):
+            cut = [parts(t) for t in texts[first : first + 500]]
+            if len(self.seen) > MEMO:
+                self.seen.clear()
+            if len(self.words) > MEMO:
+                self.words.clear()
+            new = {p: w for p in {p for d in cut for p in d} - self.seen.keys() if (w := tokens(p, self.words))}
+            if new:
+                self.seen.update(zip(new, self.decide(list(new.values())).tolist(), strict=True))
+            out[first : first + 500] = [max((self.seen.get(p, NO_SENTENCE) for p in d), default=NO_SENTENCE) for d in cut]
+        return out
 
 
 def _landmark_words(docs: Sequence[list[list[str]]], y: np.ndarray) -> list[str]:
@@ -284,80 +306,105 @@ def _landmark_words(docs: Sequence[list[list[str]]], y: np.ndarray) -> list[str]
     return best + usual[: WORD_LANDMARKS - len(best)]
 
 
-def _likes(e: np.ndarray, others: np.ndarray, own: int) -> np.ndarray:
-    """Mean similarity of each vector to its three nearest among ``others``, without itself if it is one of them."""
-    k = min(3 + own, len(others))
-    out = [np.sort(np.partition(e[at : at + 64] @ others.T, len(others) - k, axis=1)[:, -k:], axis=1)[:, : max(1, k - own)].mean(axis=1) for at in range(0, len(e), 64)]
-    return np.concatenate(out)
+def _near(e: np.ndarray, others: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights around each vector: of every row of ``others`` nearer than ``REACH``, the more the nearer; one column for each of ``weights``."""
+    out = np.zeros((len(e), weights.shape[1]))
+    for at in range(0, len(e), 256):
+        k = e[at : at + 256] @ others.T
+        np.maximum((k - REACH) / (1 - REACH), 0, out=k)
+        out[at : at + 256] = k**2 @ weights
+    return out
 
 
-def _fit(space: WordSpace, y: np.ndarray, e: list[np.ndarray]) -> Machine:
+@dataclass
+class Sample:
+    """The distinct sentences of labelled documents: words, vectors, numbers of offensive and harmless documents, and those only announcing a speaker."""
+
+    rows: list[tuple[str, ...]]
+    e: np.ndarray
+    held: np.ndarray
+    announced: np.ndarray
+    bad: list[np.ndarray]  # the sentences of each offensive document
+
+
+def _sample(space: WordSpace, docs: Sequence[list[tuple[list[str], bool]]], y: np.ndarray) -> Sample:
+    index: dict[tuple[str, ...], int] = {}
+    counts: list[list[float]] = []
+    announced: set[int] = set()
+    bad = []
+    for d, label in zip(docs, y, strict=True):
+        here = {index.setdefault(tuple(words), len(index)) for words, _ in d}
+        announced.update(index[tuple(words)] for words, told in d if told)
+        counts += [[0.0, 0.0] for _ in range(len(index) - len(counts))]
+        for k in here:
+            counts[k][int(label < 0)] += 1
+        if label > 0 and here:
+            bad.append(np.array(sorted(here)))
+    rows = list(index)
+    told = np.zeros(len(rows), bool)
+    told[list(announced)] = True
+    return Sample(rows, space.embed(rows), np.array(counts, np.float32), told, bad)
+
+
+def _fit(space: WordSpace, s: Sample) -> Machine:
     rng = np.random.default_rng(SEED)
-    bad, good = [k for k in range(len(e)) if y[k] > 0 and len(e[k])], [k for k in range(len(e)) if y[k] < 0 and len(e[k])]
-    sizes = np.cumsum([len(e[k]) for k in good])
-    chosen = np.sort(rng.permutation(sizes[-1])[:POOL])  # a pool of harmless sentences
-    doc = np.searchsorted(sizes, chosen, side="right")
-    calm = np.stack([e[good[d]][c - (sizes[d - 1] if d else 0)] for d, c in zip(doc, chosen, strict=True)])
-    sample = calm[rng.permutation(len(calm))[:NEGATIVES]]
-    # the first choice in an offensive document: the sentence farthest from everything in harmless ones
-    ref = sample[:FIRST]
-    pick = np.stack([e[k][np.argmin((e[k] @ ref.T).max(axis=1))] for k in bad])
-    held = np.ones(len(bad), bool)  # documents whose choice is trained on
-    machine, value = None, np.ones(len(bad))
+    harmless = s.held[:, 1]
+    usual = (harmless >= 3) & (harmless > s.held[:, 0])
+    asked = np.unique(np.concatenate(s.bad))
+    asked = asked[~usual[asked] & ~s.announced[asked]]
+    around = _near(s.e[asked], s.e, s.held)
+    others, calm = around[:, 0] - 1, around[:, 1]  # without its own document
+    share, lone = np.zeros(len(s.rows)), np.full(len(s.rows), np.inf)
+    share[asked] = (others + PRIOR_WEIGHT * PRIOR) / (others + calm + PRIOR_WEIGHT)
+    lone[asked] = calm
+    sure = np.zeros(len(s.rows), bool)
+    sure[asked] = (share[asked] >= 0.5) & (others >= LEAST)
+    alone = [k[np.argmin(lone[k])] for k in s.bad if not sure[k].any() and lone[k].min() < LONE]
+    plus = np.union1d(np.where(sure)[0], alone).astype(int)
+    if not len(plus):  # nothing stands out: the sentence of each document that is farthest from harmless ones
+        plus = np.unique([k[np.argmin(np.where(s.announced[k], np.inf, (s.e[k] @ s.e[harmless > 0].T).max(axis=1)))] for k in s.bad])
+    quiet = np.where((harmless > 0) & ~sure)[0]
+    quiet = quiet if len(quiet) else np.where(harmless > 0)[0]
+    third = NEGATIVES // 3
+    machine = None
     for _ in range(TURNS):
-        own, calmer = _likes(pick, pick[held], 1), _likes(pick, calm, 0)
-        sure = (value > 0) & ((calmer <= NEAR) | (calmer - own <= LEAD))  # else its likes are in harmless documents: an annotator's error
-        held = sure if sure.any() else held
-        plus = pick[held]
+        often = quiet[np.argsort(-harmless[quiet], kind="stable")[:third]]
+        chosen = np.union1d(often, quiet[rng.permutation(len(quiet))[:third]])
         if machine is not None:
-            score = machine.values(calm)
-            order = np.argsort(-score)
-            doubtful = order[: max(1, len(good) // 50)]
-            doubtful = doubtful[score[doubtful] > 0.3]  # harmless by an annotator's error
-            hard = np.setdiff1d(order[: NEGATIVES // 3], doubtful)
-            rest = np.setdiff1d(rng.permutation(len(calm))[:NEGATIVES], np.concatenate([doubtful, hard]))
-            sample = calm[np.concatenate([hard, rest])[:NEGATIVES]]
-        points = np.vstack([plus[rng.permutation(len(plus))[: SENTENCE_LANDMARKS // 2]], sample[: SENTENCE_LANDMARKS // 2]])
+            score = machine.values(s.e[quiet])
+            high = quiet[score > 0]
+            around = _near(s.e[high], s.e, s.held)
+            errors = high[around[:, 0] > around[:, 1] - 1]  # among offensive sentences: an annotator's error
+            hard = quiet[np.argsort(-score, kind="stable")[:third]]
+            left = np.setdiff1d(np.union1d(chosen, hard), errors)
+            if len(left):
+                quiet, chosen = np.setdiff1d(quiet, errors), left
+        some, at = SENTENCE_LANDMARKS // 4, rng.permutation(len(chosen))
+        points = s.e[np.concatenate([plus[rng.permutation(len(plus))[: 2 * some]], np.union1d(np.intersect1d(often[:some], chosen), chosen[at[:some]])])]
         values, vectors = np.linalg.eigh(np.exp(WIDTH * (points @ points.T - 1)).astype(np.float64))
         root = vectors[:, values > 1e-4] / np.sqrt(values[values > 1e-4])
         machine = Machine(space, points, root, np.zeros(0))
-        x = np.vstack([machine.features(plus), machine.features(sample)])
-        labels = np.concatenate([np.ones(len(plus)), -np.ones(len(sample))])
-        weight = np.where(labels > 0, COST * math.sqrt(len(sample) / len(plus)) / 4, COST / 4)
+        x = np.vstack([machine.features(s.e[plus]), machine.features(s.e[chosen])])
+        labels = np.concatenate([np.ones(len(plus)), -np.ones(len(chosen))])
+        weight = np.concatenate([np.full(len(plus), COST / 4 * math.sqrt(len(chosen) / len(plus))), COST / 4 * harmless[chosen] ** 0.8])
         machine.w = svm(x, labels, weight)
-        every = [machine.values(e[k]) for k in bad]
-        pick, value = np.stack([e[k][np.argmax(v)] for k, v in zip(bad, every, strict=True)]), np.array([v.max() for v in every])
+        every = np.unique(np.concatenate(s.bad))
+        value = np.full(len(s.rows), NO_SENTENCE)
+        value[every] = np.where(s.announced[every], NO_SENTENCE, machine.values(s.e[every]))
+        found = np.array([k[np.argmax(value[k])] for k in s.bad])
+        found = found[(value[found] > 0) & (share[found] >= 0.3)]
+        plus = np.union1d(np.where(sure)[0], found).astype(int) if sure.any() or len(found) else plus
     return machine
 
 
 def fit(texts: Sequence[str | None], labels: Sequence[int]) -> Machine | None:
-    """The machine of labelled texts (1 offensive, 0 not). Its cut maximises F1 over two halves, each scored by the other's machine."""
-    docs, y = [sentences(t) for t in texts], np.where(np.array(labels, int) > 0, 1, -1)
-    if not (y > 0).any() or not (y < 0).any() or not any(d for d, s in zip(docs, y, strict=True) if s < 0) or not any(d for d, s in zip(docs, y, strict=True) if s > 0):
+    """The machine of labelled texts (1 offensive, 0 not); none without sentences of both kinds."""
+    docs = [[(words, p.endswith(":")) for p in parts(t) if (words := tokens(p))] for t in texts]
+    y = np.where(np.array(labels, int) > 0, 1, -1)
+    if not any(any(not told for _, told in d) for d, label in zip(docs, y, strict=True) if label > 0) or not any(d for d, label in zip(docs, y, strict=True) if label < 0):
         return None
-    space = WordSpace(_landmark_words(docs, y))
-    e = [space.embed(d) if d else np.zeros((0, space.width), np.float32) for d in docs]
-    machine = _fit(space, y, e)
-    order = np.random.default_rng(SEED).permutation(len(docs))
-    scores = np.full(len(docs), NO_SENTENCE)
-    for half in (order[::2], order[1::2]):
-        other = np.setdiff1d(order, half)
-        if min((y[other] > 0).sum(), (y[other] < 0).sum(), sum(len(e[k]) for k in other if y[k] > 0), sum(len(e[k]) for k in other if y[k] < 0)) == 0:
-            continue
-        m = _fit(space, y[other], [e[k] for k in other])
-        for k in half:
-            if len(e[k]):
-                scores[k] = m.values(e[k]).max()
-    cuts = np.unique(np.round(scores[scores > -1.0], 2))
-    f1 = np.array([_f1(scores >= c, y > 0) for c in cuts])
-    good = cuts[f1 >= f1.max() - 0.005] if len(cuts) else np.zeros(1)  # the middle of the best cuts
-    machine.cut = float(np.clip((good[0] + good[-1]) / 2, -0.5, 0.5))
-    return machine
-
-
-def _f1(found: np.ndarray, true: np.ndarray) -> float:
-    hit = (found & true).sum()
-    return 2 * hit / max(1, found.sum() + true.sum())
+    space = WordSpace(_landmark_words([[words for words, _ in d] for d in docs], y))
+    return _fit(space, _sample(space, docs, y))
 
 
 def labelled(documents: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:

@@ -37,9 +37,11 @@ def test_a_long_word_needs_no_square_of_memory():
 
 
 def test_folding():
-    same = ["cretin", "c-r-e-t-i-n", "C.R.E.T.I.N", "cr3t1n", "crе​tin", "crééétin".replace("ééé", "eee"), "ｃｒｅｔｉｎ"]
+    same = ["cretin", "c-r-e-t-i-n", "C.R.E.T.I.N", "c_r_e_t_i_n", "cr3t1n", "crе​tin", "crrrretin".replace("rrrr", "rrr"), "ｃｒｅｔｉｎ"]
     assert {tuple(abuse.sentences(x)[0]) for x in same} == {("cretin",)}
-    assert abuse.sentences("One two. Three! (Four) — five") == [["one", "two"], ["three"], ["four"], ["five"]]
+    assert abuse.sentences("One two. Three! (Four) — five, six") == [["one", "two"], ["three"], ["four"], ["five"], ["six"]]
+    assert abuse.sentences("the moronA farmer came") == [["the", "moron"], ["a", "farmer", "came"]] and abuse.parts("A voice: No") == ["a voice:", "no"]
+    assert abuse.sentences("I, a B") == [["iab"]] and abuse.sentences("costs 3,500 crowns") == [["costs", "crowns"]]
     assert abuse.sentences(None) == abuse.sentences("  ") == abuse.sentences("12 34") == []
 
 
@@ -78,17 +80,38 @@ def test_scores(spark):
     assert abuse.scored(docs.limit(0), votes).collect() == []
 
 
-@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are absent")
+def labelled(con, sf):
+    files = lambda t: f"'{sf}/{t}.parquet'" if os.path.isfile(f"{sf}/{t}.parquet") else f"'{sf}/{t}.parquet/*.parquet'"
+    return con.execute(
+        f"""select doc_id, any_value(text), avg(offensive) y, count(*) n from {files("documents")} join {files("speech_labels")} using (doc_id)
+ where offensive is not null group by 1 having y <> 0.5 order by hash(doc_id)"""
+    ).fetchall()
+
+
+def rates(machine, held):
+    found = [machine.score([t])[0] >= machine.cut for _, t, *_ in held]
+    true = [y > 0.5 for _, _, y, _ in held]
+    hits = sum(f and y for f, y in zip(found, true, strict=True))
+    return hits / max(1, sum(true)), hits / max(1, sum(found))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/check_l"), reason="the larger tables are absent")
 def test_held_out_accuracy():
-    """Trained on two thirds of the labelled documents, the others' labels are mostly met, although annotators err."""
+    """Trained on thousands of labelled documents, the labels of others that two annotators agree on are met."""
     import duckdb
 
-    con = duckdb.connect()
-    sf = "/root/testdata/sf0.1"
-    rows = con.execute(f"select doc_id, any_value(text), avg(offensive) y from '{sf}/documents.parquet' join '{sf}/speech_labels.parquet' using (doc_id) where offensive is not null group by 1 having y <> 0.5 order by hash(doc_id)").fetchall()
+    rows = labelled(duckdb.connect(), "/root/testdata/check_l")
+    machine = abuse.fit([t for _, t, *_ in rows[:4000]], [int(r[2] > 0.5) for r in rows[:4000]])
+    recall, precision = rates(machine, [r for r in rows[4000:] if r[3] > 1])
+    assert recall >= 0.9 and precision >= 0.9
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are absent")
+def test_few_labels():
+    """Some sixty offensive documents to learn from tell fewer of the others' words; what is found is mostly right. Annotators err."""
+    import duckdb
+
+    rows = labelled(duckdb.connect(), "/root/testdata/sf0.1")
     train, held = [r for k, r in enumerate(rows) if k % 3], rows[::3]
-    machine = abuse.fit([t for _, t, _ in train], [int(y > 0.5) for *_, y in train])
-    found = [bool(len(s := abuse.sentences(t)) and machine.decide(s).max() >= machine.cut) for _, t, _ in held]
-    true = [y > 0.5 for *_, y in held]
-    hits = sum(f and y for f, y in zip(found, true, strict=True))
-    assert hits >= 0.5 * sum(true) and hits >= 0.5 * sum(found)
+    recall, precision = rates(abuse.fit([t for _, t, *_ in train], [int(r[2] > 0.5) for r in train]), held)
+    assert recall >= 0.5 and precision >= 0.7
