@@ -5,9 +5,13 @@ metric, so that the triangle inequality prunes branches without losing an entry
 is sharded (``SHARD_ROWS`` names a shard); every distinct typed value is looked up in every shard, and the shards'
 winners are merged. Only distinct values are looked up, whatever the number of rows.
 
-Defined cases: null and blank values mean nothing; equal distances are decided by the smaller entry code; repeated rows
-are all kept; with an empty reference list nothing is matched; values are compared without case, accents kept, without
-remarks in brackets or behind a comma, labels before them and closing marks.
+Entries are compared whole, as they are written. A typed value is compared in up to three forms: whole; without a label
+before it (``in``, ``language:``); and without what stands in brackets or behind a comma as well. The first form that is an
+entry is meant; only if none is, the first form with an entry within the threshold.
+
+Defined cases: null and blank values mean nothing; equal distances are decided by the smaller entry code, but a value that
+had to be cut at a bracket or comma and then is equally near to several entries means none; repeated rows are all kept;
+with an empty reference list nothing is matched; values are compared without case and closing marks, accents kept.
 """
 
 from __future__ import annotations
@@ -19,7 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARD_ROWS, VALUES_PER_TASK = 20_000, 2_000
+from taxaloom.session import cut
+
+SHARD_ROWS, VALUES_PER_TASK, MOST_TASKS, FEW_PAIRS = 20_000, 500, 1_000, 200_000
+WHOLE, BARE, HEAD = 0, 1, 2  # the forms of a typed value
 
 
 def distance(a: str, b: str) -> int:
@@ -83,25 +90,50 @@ LABEL = re.compile(r"(?:\W*\b(?:in|lang|language|langue|lingua|idioma|sprache|co
 
 
 def plain(text: str | None) -> str:
-    """The value as compared."""
-    out = unicodedata.normalize("NFKC", text or "").casefold()
-    out = LABEL.sub("", out, count=1) if LABEL.match(out) else out
+    """A text as compared, whole."""
+    return " ".join(unicodedata.normalize("NFKC", text or "").casefold().strip(" \t\n.?!:;*").split())
+
+
+def forms(text: str | None) -> list[tuple[int, str]]:
+    """The different forms in which a typed value is compared, in order."""
+    whole = plain(text)
+    bare = LABEL.sub("", whole, count=1) if LABEL.match(whole) else whole
+    head = bare
     for mark in "([,":
-        head, _, _ = out.partition(mark)
-        out = head if head.strip() else out
-    return " ".join(out.strip(" \t\n.?!:;*").split())
+        before = head.partition(mark)[0]
+        head = before if before.strip() else head
+    out: list[tuple[int, str]] = []
+    for k, form in ((WHOLE, whole), (BARE, bare), (HEAD, head)):
+        form = plain(form)
+        if form and form not in {f for _, f in out}:
+            out.append((k, form))
+    return out
+
+
+_trees: dict[int, BKTree] = {}
+
+
+def _tree(entries: pd.DataFrame) -> BKTree:
+    """The tree of a shard, made once in each worker."""
+    pairs = list(zip(entries["name"], entries["code"], strict=True))
+    key = hash(tuple(sorted(pairs)))
+    if key not in _trees:
+        if len(_trees) >= 4:
+            _trees.clear()
+        _trees[key] = BKTree(pairs)
+    return _trees[key]
 
 
 def _look_up(values: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-    tree = BKTree(list(zip(entries["name"], entries["code"], strict=True)))
-    rows = []
+    tree, rows = _tree(entries), []
     for value in values["value"]:
-        asked = plain(value)
-        if not asked:
-            continue
-        hits = tree.within(asked, 0) or [h for h in tree.within(asked, threshold(len(asked))) if len(h[2]) > 3]  # a code is never misspelt into
-        rows += [(value, d, code) for d, code, _ in sorted(hits)[:1]]
-    return pd.DataFrame(rows, columns=["value", "edits", "code"])
+        asked = forms(value)
+        hits = [(False, k, 0, code) for k, form in asked for _, code, _ in tree.within(form, 0)]
+        if not hits:  # a code is never misspelt into
+            hits = [(True, k, d, code) for k, form in asked for d, code, name in tree.within(form, threshold(len(form))) if len(name) > 3]
+        best = min((h[:3] for h in hits), default=None)
+        rows += [(value, *h) for h in set(hits) if h[:3] == best]
+    return pd.DataFrame(rows, columns=["value", "misspelt", "form", "edits", "code"])
 
 
 def reference_names(languages: DataFrame) -> DataFrame:
@@ -116,20 +148,30 @@ def matches(values: DataFrame, names: DataFrame, shard_rows: int = SHARD_ROWS, v
     """For distinct ``value`` rows: ``value, code, edits`` of the closest entry within the threshold; others are absent."""
     shards = max(1, -(-names.count() // shard_rows))
     tasks = max(1, -(-values.count() // values_per_task))
+    parts = min(shards * tasks, MOST_TASKS)  # given, so that few values aren't put into one task
     asked = values.select("value", F.pmod(F.xxhash64("value"), F.lit(tasks)).alias("task"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     kept = names.select("name", "code", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)).cast("array<bigint>")).alias("task"))
-    found = asked.groupBy("shard", "task").cogroup(kept.groupBy("shard", "task")).applyInPandas(_look_up, "value string, edits int, code string")
-    return found.groupBy("value").agg(F.min(F.struct("edits", "code")).alias("best")).select("value", "best.code", "best.edits")
+    asked, kept = (df.repartition(parts, "shard", "task").groupBy("shard", "task") for df in (asked, kept))
+    found = asked.cogroup(kept).applyInPandas(_look_up, "value string, misspelt boolean, form int, edits int, code string")
+    ties = found.groupBy("value", "misspelt", "form", "edits").agg(F.min("code").alias("code"), F.count_distinct("code").alias("n"))
+    best = ties.groupBy("value").agg(F.min(F.struct("misspelt", "form", "edits", "code", "n")).alias("best"))
+    return best.where((F.col("best.form") < HEAD) | (F.col("best.n") == 1)).select("value", "best.code", "best.edits")
 
 
 def mapped(rows: DataFrame, languages: DataFrame) -> DataFrame:
-    """``rows`` with ``means``: the entry code meant by ``language``, else by ``lang_code``, else ``''``; and ``exact``, whether both are an entry's own."""
+    """``rows`` with ``means``: the entry code meant by ``language``, else by ``lang_code``, else ``''``; and ``exact``, whether both are an entry's own.
+
+    A few languages hold most rows, so the different pairs of language and code are resolved first. Up to ``FEW_PAIRS``
+    of them are broadcast to the rows; more are joined by their key.
+    """
     columns = rows.columns
-    values = rows.select(F.explode(F.array("language", "lang_code")).alias("value")).where("trim(value) <> ''").distinct()
-    best = matches(values, reference_names(languages))
+    pairs = cut(rows.select(F.col("language").alias("_l"), F.col("lang_code").alias("_c")).distinct())
+    values = pairs.select(F.explode(F.array("_l", "_c")).alias("value")).where("trim(value) <> ''").distinct()
+    best = cut(matches(values, reference_names(languages)))
     own = languages.select(F.col("language").alias("_own"), F.col("lang_code").alias("_code")).distinct().withColumn("_exact", F.lit(True))
     by_name = best.select(F.col("value").alias("_v1"), F.col("code").alias("_c1"))
     by_code = best.select(F.col("value").alias("_v2"), F.col("code").alias("_c2"))
-    joined = rows.join(by_name, F.col("language") == F.col("_v1"), "left").join(by_code, F.col("lang_code") == F.col("_v2"), "left")
-    joined = joined.join(own, F.expr("language = _own and lang_code = _code"), "left")
-    return joined.select(*columns, F.coalesce("_c1", "_c2", F.lit("")).alias("means"), F.coalesce("_exact", F.lit(False)).alias("exact"))
+    told = pairs.join(by_name, F.col("_l") == F.col("_v1"), "left").join(by_code, F.col("_c") == F.col("_v2"), "left").join(own, F.expr("_l = _own and _c = _code"), "left")
+    told = told.select("_l", "_c", F.coalesce("_c1", "_c2", F.lit("")).alias("means"), F.coalesce("_exact", F.lit(False)).alias("exact"))
+    told = F.broadcast(told) if pairs.count() <= FEW_PAIRS else told
+    return rows.drop("means", "exact").join(told, F.expr("language <=> _l and lang_code <=> _c"), "left").select(*(c for c in columns if c not in ("means", "exact")), "means", "exact")

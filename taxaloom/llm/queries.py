@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.functions.ids import clean_id, uuid_text
+from taxaloom.functions.ids import BLANKS, clean_id, uuid_text
 from taxaloom.llm import abuse, bpe, langmap, lookalike, mixing
 from taxaloom.session import cut, table
 
@@ -93,4 +93,32 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_unmatched, p7_found, p7_forms, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
-SQL: dict[str, str] = {}
+_TIDY = "trim(regexp_replace(trim(lower(nfc_normalize({c})), ' ' || chr(9) || chr(10) || '.?!:;*'), '[[:space:]' || chr(160) || ']+', ' ', 'g'))"
+_CHARS = " || ".join(f"chr({ord(c)})" for c in BLANKS)
+
+
+def _sql_tidy(c: str) -> str:
+    return _TIDY.format(c=c)
+
+
+# Damerau-Levenshtein in DuckDB is the unrestricted distance. A value's forms: 0 whole, 1 without label, 2 without remarks.
+_LANGUAGES = f"""with entry as (select distinct {_sql_tidy("way")} as name, lang_code code from (select lang_code, unnest(list_concat([language, lang_code, lang_code2], coalesce(alt_names, []))) way from languages)
+   where way is not null and lang_code is not null),
+ typed as (select distinct unnest([language, lang_code]) as value from vernacular_string_indices),
+ whole as (select value, {_sql_tidy("value")} f0 from typed where trim(value) <> ''),
+ bare as (select value, f0, regexp_replace(f0, '^(?:[^\\p{{L}}\\p{{N}}_]*(?:in|lang|language|langue|lingua|idioma|sprache|code)[^\\p{{L}}\\p{{N}}_]+)+([\\p{{L}}\\p{{N}}_])', '\\1') f1 from whole),
+ head as (select value, f0, f1, case when trim(regexp_extract(f1, '^[^(\\[,]*')) <> '' then {_sql_tidy("regexp_extract(f1, '^[^(\\[,]*')")} else f1 end f2 from bare),
+ form as (select distinct value, f, min(k) over (partition by value, f) k from (select value, f0 f, 0 k from head union all select value, {_sql_tidy("f1")}, 1 from head union all select value, f2, 2 from head) where f <> ''),
+ hit as (select value, k, f, name, code, damerau_levenshtein(f, name) d from form, entry where abs(length(f) - length(name)) <= 2),
+ fit as (select value, d > 0 miss, k, d, code from hit where d = 0 or (length(name) > 3 and d <= case when length(f) <= 3 then 0 when length(f) <= 5 then 1 else 2 end)),
+ best as (select value, min({{'m': miss, 'k': k, 'd': d}}) b from fit group by 1),
+ meant as (select f.value, min(f.code) code from fit f join best b on b.value = f.value and {{'m': f.miss, 'k': f.k, 'd': f.d}} = b.b group by f.value having any_value(f.k) < 2 or count(distinct f.code) = 1),
+ told as (select v.*, coalesce(n.code, c.code, '') means, exists (select 1 from languages l where l.language = v.language and l.lang_code = v.lang_code) is_exact
+   from vernacular_string_indices v left join meant n on n.value = v.language left join meant c on c.value = v.lang_code
+   where trim(v.language) <> '' or trim(v.lang_code) <> '')"""
+_UUID = f"lower(trim(vernacular_string_id, {_CHARS}))"
+
+SQL: dict[str, str] = {
+    "p5_found": f"{_LANGUAGES} select distinct data_source_id, coalesce(trim(record_id, {_CHARS}), '') record_id, {_UUID} vernacular_string_id, means lang_code from told where not is_exact",
+    "p5_unmatched": f"{_LANGUAGES} select language, lang_code, count(*) n_rows from told where means = '' group by all",
+}

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from taxaloom.llm import langmap
-from taxaloom.llm.langmap import BKTree, distance, plain
+from taxaloom.llm.langmap import BKTree, distance, forms, plain
 
 word = st.text(alphabet="abcd", max_size=7)
 
@@ -34,7 +34,23 @@ def test_tree_against_brute_force(radius):
 
 
 def test_compared_form():
-    assert [plain(x) for x in ("  ENGLISH ", "German (dialect)", "French, northern", "eng.", "in Danish", "lang=Czech", "language: Thai", "Ｗｅｌｓｈ?", "(x)", "in", None, "")] == ["english", "german", "french", "eng", "danish", "czech", "thai", "welsh", "(x)", "in", "", ""]
+    assert [plain(x) for x in ("  ENGLISH ", "German (dialect)", "French, northern", "eng.", "Ｗｅｌｓｈ?", None, "")] == ["english", "german (dialect)", "french, northern", "eng", "welsh", "", ""]
+    last = lambda x: forms(x)[-1][1] if forms(x) else ""
+    assert [last(x) for x in ("  ENGLISH ", "German (dialect)", "French, northern", "eng.", "in Danish", "lang=Czech", "language: Thai", "Ｗｅｌｓｈ?", "(x)", "in", None, "")] == ["english", "german", "french", "eng", "danish", "czech", "thai", "welsh", "(x)", "in", "", ""]
+    assert forms("in Greek, Modern") == [(0, "in greek, modern"), (1, "greek, modern"), (2, "greek")]
+
+
+def test_entries_with_marks_mean_themselves(spark):
+    """Names with commas, brackets and label words are compared whole; a cut that leaves several entries means none."""
+    entries = [("ell", "el", "Greek, Modern", ["Greek (new)"]), ("grc", None, "Ancient Greek", ["Greek, Ancient", "Greek [old]"]), ("ina", "ia", "in code", []), ("lin", None, "Lang, Lingua", ["(x) y"]), ("abc", None, "Old Name", ["Same"]), ("abd", None, "New Name", ["Same"])]
+    languages = spark.createDataFrame(entries, "lang_code string, lang_code2 string, language string, alt_names array<string>")
+    ways = {w: code for code, _, name, alt in entries for w in (code, name, *alt) if w != "Same"}
+    asked = [*ways, *(w.upper() for w in ways), "in Greek, Modern", "Greek, Anciemt", "Same", "Same, northern", "Greek"]
+    df = spark.createDataFrame([(v,) for v in asked], "value string").distinct()
+    got = {r.value: r.code for r in langmap.matches(df, langmap.reference_names(languages)).collect()}
+    assert {w: got.get(w) for w in ways} == ways and {w.upper(): got.get(w.upper()) for w in ways} == {w.upper(): c for w, c in ways.items()}
+    assert got["in Greek, Modern"] == "ell" and got["Greek, Anciemt"] == "grc" and got["Same"] == "abc"
+    assert "Same, northern" not in got and "Greek" not in got
 
 
 LANGUAGES = [("eng", "en", "English", ["anglais", "inglés"]), ("deu", "de", "German", ["Deutsch", None]), ("haw", None, "Hawaiian", []), ("slk", "sk", "Slovak", None), ("slv", "sl", "Slovene", [])]
