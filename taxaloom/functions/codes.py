@@ -16,9 +16,11 @@ SUFFIXES = (
 )
 # Suffixes that speak for zoology (1) or botany (2).
 VOTES = {"idae": 1, "ini": 1, "aceae": 2, "oideae": 2, "eae": 2}
-# Ranks with a column of their own, from the root.
+# Ranks that an import reads from a flat classification, from the root.
 FLAT_RANKS = ("kingdom", "phylum", "subphylum", "class", "order", "suborder", "superfamily", "family", "subfamily", "tribe", "subtribe", "genus", "subgenus", "section", "species")
-#: Of these a checklist can fill.
+# Ranks with a column of their own in an export, from the root.
+EXPORT_RANKS = ("kingdom", "phylum", "subphylum", "class", "subclass", "order", "suborder", "superfamily", "family", "subfamily", "tribe", "subtribe", "genus", "subgenus", "species")
+#: Of the import ranks a checklist can fill.
 GIVEN_RANKS = ("kingdom", "phylum", "subphylum", "class", "order", "family", "genus", "species")
 
 
@@ -39,14 +41,21 @@ def rank_by_suffix(name: Column, code: Column) -> Column:
     return out
 
 
-def code_vote(classification: Column) -> Column:
-    """Majority vote on the code over the names of a ``|``-joined classification: 1, 2, or 0 for a tie."""
-
-    def ballot(name: Column) -> Column:
-        low, out = F.lower(name), F.lit(0)
-        for suffix, code in VOTES.items():
-            out = F.when(low.endswith(suffix), F.lit(1 if code == 1 else -1)).otherwise(out)
+def ballot(name: Column, known: Column | None = None, code: Column | None = None) -> Column:
+    """A name's vote on the code: 1 zoology, -1 botany, 0 neither. A name ``known`` to the dictionary votes by its ``code`` there, others by their suffix."""
+    low, out = F.lower(name), F.lit(0)
+    for suffix, number in reversed(list(VOTES.items())):
+        out = F.when(low.endswith(suffix), F.lit(1 if number == 1 else -1)).otherwise(out)
+    if known is None:
         return out
+    return F.when(known, F.when(code == "iczn", F.lit(1)).when(code == "icn", F.lit(-1)).otherwise(F.lit(0))).otherwise(out)
+
 
-    total = F.aggregate(F.split(F.coalesce(classification, F.lit("")), r"\|"), F.lit(0), lambda acc, n: acc + ballot(n))
-    return F.when(total > 0, F.lit(1)).when(total < 0, F.lit(2)).otherwise(F.lit(0)).cast("smallint")
+def winner(votes: Column) -> Column:
+    """The code of a sum of votes: 1, 2, or 0 for a tie."""
+    return F.when(votes > 0, F.lit(1)).when(votes < 0, F.lit(2)).otherwise(F.lit(0)).cast("smallint")
+
+
+def code_vote(classification: Column) -> Column:
+    """The code for which the suffixes of a ``|``-joined classification's names vote, without a dictionary."""
+    return winner(F.aggregate(F.split(F.coalesce(classification, F.lit("")), r"\|"), F.lit(0), lambda acc, n: acc + ballot(n)))

@@ -27,6 +27,13 @@ def compared_counts(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFram
     return joined.select(*(F.coalesce(f"x.{k}", f"y.{k}").alias(k) for k in keys), n_a.alias("n_a"), n_b.alias("n_b"), (n_a == n_b).alias("same"))
 
 
+def compared_metadata(a: DataFrame, b: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """For each key of two one-row-a-key tables whether each field agrees (null agrees with null, also of a missing key)."""
+    x, y = a.alias("x"), b.alias("y")
+    joined = x.join(y, F.expr(f"x.{key} <=> y.{key}"), "full")
+    return joined.select(F.coalesce(f"x.{key}", f"y.{key}").alias(key), *(F.expr(f"x.{f} <=> y.{f}").alias(f) for f in fields))
+
+
 def compared_samples(a: DataFrame, b: DataFrame, group: str, order: Sequence[str], fields: Sequence[str], size: int) -> DataFrame:
     """The first ``size`` rows of each group on either side, paired by place: ``group, place, same``.
 

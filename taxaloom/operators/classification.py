@@ -1,7 +1,8 @@
 """Paths of names and ranks, flat classifications, and their columns.
 
 Defined cases: null names and ranks are ``''`` in a path; flat ranks without a name are skipped; taxa on or below a circle
-have no path of parents and fall back on their flat ranks; empty fields unfold to nulls.
+have no path of parents and fall back on their flat ranks; a name that can't be parsed is ``''`` in a path; empty
+classifications unfold to nulls; ids without a name are ignored.
 """
 
 from __future__ import annotations
@@ -9,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.functions.codes import FLAT_RANKS, GIVEN_RANKS
+from taxaloom.functions.codes import EXPORT_RANKS, FLAT_RANKS, GIVEN_RANKS, ballot, rank_by_suffix, winner
 from taxaloom.functions.ids import clean_id
 from taxaloom.operators.hierarchy import paths
+from taxaloom.operators.parse import parsed
 
 _NODE = "array<struct<name:string,rank:string,id:string>>"
 
@@ -30,12 +32,13 @@ def flat_nodes() -> Column:
 
 
 def breadcrumbs(taxa: DataFrame, prefer_flat: bool | Column = False) -> DataFrame:
-    """``data_source_id, id, names, ranks, ids``: the path joined by ``|``; below two nodes the flat ranks come first.
+    """``data_source_id, id, names, ranks, ids``: the path joined by ``|``, of canonical names; below two nodes the flat ranks come first.
 
     Where ``prefer_flat`` holds (for all, or by a condition on ``data_source_id``) only the flat ranks count.
     """
     rows = holding_rows(taxa)
-    own = rows.select(F.col("data_source_id").alias("_s"), F.col("id").alias("_i"), F.struct(F.coalesce("col__scientific_name", F.lit("")).alias("name"), F.coalesce(F.lower("col__rank_id"), F.lit("")).alias("rank"), F.col("id").alias("id")).alias("_node"))
+    named = parsed(rows, "col__scientific_name")
+    own = named.select(F.col("data_source_id").alias("_s"), F.col("id").alias("_i"), F.struct(F.coalesce("parsed_simple", F.lit("")).alias("name"), F.coalesce(F.lower("col__rank_id"), F.lit("")).alias("rank"), F.col("id").alias("id")).alias("_node"))
     steps = paths(taxa).select("grp", "id", F.posexplode("path").alias("at", "step"))
     walked = steps.join(own, F.expr("grp <=> _s and step = _i")).groupBy("grp", "id").agg(F.sort_array(F.collect_list(F.struct("at", "_node"))).alias("p"))
     walked = walked.select(F.col("grp").alias("_s"), F.col("id").alias("_i"), F.transform("p", lambda x: x["_node"]).alias("path"))
@@ -47,14 +50,56 @@ def breadcrumbs(taxa: DataFrame, prefer_flat: bool | Column = False) -> DataFram
     return nodes.select("data_source_id", "id", *(F.array_join(F.col(f"n.{k}"), "|").alias(f"{k}s") for k in ("name", "rank", "id")))
 
 
-def unfolded(index: DataFrame) -> DataFrame:
-    """Each rank's name and the parent's id from packed classifications; of a rank named twice the last name holds."""
-    names, ranks, ids = (F.split(F.coalesce(c, F.lit("")), r"\|") for c in ("classification", F.lower("classification_ranks"), "classification_ids"))
-    rows = index.select("data_source_id", "record_id", names.alias("n"), F.reverse(ranks).alias("r"), ids.alias("i"))
+def _told(names: DataFrame, name: str, dictionary: DataFrame) -> DataFrame:
+    """``names`` with the dictionary's ``_known, _rank, _code`` of each."""
+    d = dictionary.select(F.col("name").alias("_known"), F.col("rank").alias("_rank"), F.col("code").alias("_code"))
+    return names.join(d, F.col(name) == F.col("_known"), "left")
 
-    def at(rank: str) -> Column:
+
+def inferred_rank(name: Column, code: Column, rank: Column) -> Column:
+    """The rank of a name without one: the dictionary's ``rank`` if an export has it, else that of the suffix, else ``''``."""
+    return F.when(F.lower(rank).isin(*EXPORT_RANKS), rank).otherwise(rank_by_suffix(name, code))
+
+
+def inferred_ranks(names: DataFrame, name: str, dictionary: DataFrame, codes: dict[str, Column]) -> DataFrame:
+    """``names`` with one column of ranks for each code of ``codes``, by dictionary and suffix."""
+    told = _told(names, name, dictionary)
+    return told.select(*names.columns, *(inferred_rank(F.col(name), code, F.col("_rank")).alias(c) for c, code in codes.items()))
+
+
+def votes(index: DataFrame, dictionary: DataFrame, classification: str = "classification") -> DataFrame:
+    """Per different classification: ``classification, code, nodes`` (code 1, 2 or 0 by majority; nodes in order, with the dictionary's ranks)."""
+    texts = index.select(F.col(classification).alias("classification")).where("classification <> ''").distinct()
+    told = _told(texts.select("classification", F.posexplode(F.split("classification", r"\|")).alias("at", "name")), "name", dictionary)
+    per = told.groupBy("classification").agg(
+        F.sum(ballot(F.col("name"), F.col("_known").isNotNull(), F.col("_code"))).alias("n"), F.sort_array(F.collect_list(F.struct("at", "name", F.col("_rank").alias("rank")))).alias("nodes")
+    )
+    return per.select("classification", winner(F.col("n")).alias("code"), "nodes")
+
+
+def unfolded(index: DataFrame, dictionary: DataFrame, code: str = "code_id") -> DataFrame:
+    """Names and ids by rank and the parent's id from packed classifications: ``name_…``, ``id_…`` of each of ``EXPORT_RANKS``, ``parent_id``.
+
+    Names and ranks are paired as far as both go; of a rank given twice the last holds. Where no ranks are given they are
+    inferred under the record's code, else under the code its names vote for.
+    """
+    told = votes(index.where("coalesce(classification_ranks, '') = ''"), dictionary).select(F.col("classification").alias("_c"), F.col("code").alias("_voted"), "nodes")
+    rows = index.where("classification <> ''").select("data_source_id", "record_id", F.col(code).cast("int").alias("code_id"), "classification", "classification_ranks", "classification_ids")
+    bare = F.coalesce("classification_ranks", F.lit("")) == ""
+    joined = rows.where(bare).join(told, F.col("classification") == F.col("_c"), "left")
+    own = F.when(F.coalesce("code_id", F.lit(0)) != 0, F.col("code_id")).otherwise(F.col("_voted").cast("int"))
+    lone = joined.withColumn("_code", own).withColumn("r", F.transform("nodes", lambda n: inferred_rank(n["name"], F.col("_code"), n["rank"])))
+    given = rows.where(~bare).withColumn("r", F.split(F.lower("classification_ranks"), r"\|"))
+    columns = ["data_source_id", "record_id", "classification", "classification_ids", "r"]
+    every = lone.select(*columns).unionByName(given.select(*columns))
+    every = every.withColumns({"n": F.split("classification", r"\|"), "i": F.split(F.coalesce("classification_ids", F.lit("")), r"\|")})
+    every = every.withColumn("r", F.reverse(F.slice(F.transform("r", lambda x: F.lower(x)), F.lit(1), F.greatest(F.size("n"), F.lit(1)))))
+
+    def at(rank: str, values: str) -> Column:
         place = F.array_position("r", F.lit(rank))  # from the end: the last name holds
-        return F.when(place > 0, F.nullif(F.get("n", (F.size("r") - place).cast("int")), F.lit("")))
+        return F.when(place > 0, F.nullif(F.get(values, (F.size("r") - place).cast("int")), F.lit("")))
 
     parent = F.nullif(F.try_element_at("i", F.lit(-2)), F.lit(""))
-    return rows.select("data_source_id", "record_id", *(at(r).alias(f"name_{r}") for r in FLAT_RANKS), parent.alias("parent_id"))
+    made = every.select("data_source_id", "record_id", *(at(r, "n").alias(f"name_{r}") for r in EXPORT_RANKS), *(at(r, "i").alias(f"id_{r}") for r in EXPORT_RANKS), parent.alias("parent_id"))
+    empty = index.where("coalesce(classification, '') = ''").select("data_source_id", "record_id", *(F.lit(None).cast("string").alias(c) for c in made.columns[2:]))
+    return made.unionByName(empty)

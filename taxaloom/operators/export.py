@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,17 @@ def base_name(source: Column, title: Column, revision: Column, updated: Column)
     text = F.coalesce(F.nullif(slug(title), F.lit("")), F.lit("source"))
     date = F.coalesce(F.nullif(revision, F.lit("")), F.date_format(updated, "yyyy-MM-dd"))
     return F.concat_ws("-", F.lpad(source.cast("string"), 4, "0"), text, date)
+
+
+def written(tables: dict[str, DataFrame], folder: str, by: str = "data_source_id") -> DataFrame:
+    """Writes each table of an export as Parquet under ``folder``, a partition for each source; gives the rows written per table and source.
+
+    Rows are gathered by source, small sources together and large ones split over several tasks and files by their size.
+    A second run replaces the first.
+    """
+    done = []
+    for name, df in tables.items():
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(f"{folder}/{name}")
+        back = df.sparkSession.read.parquet(f"{folder}/{name}")
+        done.append(back.groupBy(F.col(by).cast("int").alias(by)).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("tab"), by, "n_rows"))
+    return reduce(DataFrame.unionByName, done)

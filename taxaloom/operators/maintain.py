@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,6 +46,13 @@ def without_sources(rows: DataFrame, sources: DataFrame | Sequence[int], column:
     return rows.where(~F.col(column).isin(*sources)) if sources else rows
 
 
+def removed(tables: dict[str, tuple[DataFrame, str]], sources: DataFrame | Sequence[int], column: str = "data_source_id") -> dict[str, DataFrame]:
+    """Every table (with its column of the source) without some sources: index rows, vernaculars, the list of sources."""
+    if isinstance(sources, DataFrame):
+        return {name: without_sources(df, sources.select(F.col(column).alias(c)), c) for name, (df, c) in tables.items()}
+    return {name: without_sources(df, sources, c) for name, (df, c) in tables.items()}
+
+
 def replaced(rows: DataFrame, new: DataFrame, column: str = "data_source_id") -> DataFrame:
     """``rows`` with all rows of the sources in ``new`` replaced by ``new``."""
     return without_sources(rows, new, column).unionByName(new)
@@ -71,19 +79,32 @@ def migrated(df: DataFrame, desired: StructType) -> DataFrame:
 
 
 def swap(df: DataFrame, folder: str, partition_by: Sequence[str] = ()) -> str:
-    """Writes a new version under ``folder`` and makes it the current one; readers of the old version aren't disturbed."""
+    """Writes a new version under ``folder`` and makes it the current one; readers of the old version aren't disturbed.
+
+    Nothing is overwritten: a small file with the next number names the new version, and readers take the greatest number.
+    """
     spark = df.sparkSession
     version = f"{folder}/v-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(version)
-    pointer = spark.createDataFrame([(json.dumps({"path": version}),)], "value string")
-    pointer.coalesce(1).write.mode("overwrite").text(f"{folder}/current")
+    last = _pointer(spark, folder)
+    pointer = spark.createDataFrame([(json.dumps({"number": (last or {"number": 0})["number"] + 1, "path": version}),)], "value string")
+    pointer.coalesce(1).write.mode("append").text(f"{folder}/current")
     return version
 
 
+def _pointer(spark: SparkSession, folder: str) -> dict | None:
+    """The pointer of the greatest number."""
+    try:
+        rows = spark.read.schema("value string").text(f"{folder}/current").collect()  # one short line for each version
+    except AnalysisException:  # no version yet
+        return None
+    return max((json.loads(r[0]) for r in rows), key=lambda p: (p["number"], p["path"]), default=None)
+
+
 def current(spark: SparkSession, folder: str) -> DataFrame:
     """The current version."""
-    return spark.read.parquet(json.loads(spark.read.text(f"{folder}/current").first()[0])["path"])
+    return spark.read.parquet(_pointer(spark, folder)["path"])
 
 
 def statistics(spark: SparkSession, table: str) -> None:

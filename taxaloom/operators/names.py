@@ -7,6 +7,7 @@ give one row where a key is loaded and stay where records are listed; empty tabl
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ def loaded_names(rows: DataFrame, plain: str = "col__scientific_name", checked:
 
 
 def absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new``, one for each key, whose key ``existing`` doesn't hold. Writing them twice changes nothing."""
-    return new.dropDuplicates(list(keys)).join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``new``, of each key the least one, whose key ``existing`` doesn't hold. Writing them twice changes nothing."""
+    rest = [c for c in new.columns if c not in keys]
+    one = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*(c if c in keys else F.col(f"_r.{c}").alias(c) for c in new.columns)) if rest else new.distinct()
+    return one.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def not_in(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFrame:
@@ -38,6 +41,18 @@ def not_in(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFrame
     return kept.join(F.broadcast(facts)).where((F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())).drop("_n", "_nulls")
 
 
+def bare(names: DataFrame, key: str, used: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Names that no row of any of the ``used`` tables (taxa, synonyms) names, as SQL's NOT IN over their union has it."""
+    every = [df.select(F.col(c).alias("_used")) for df, c in used]
+    return not_in(names, key, reduce(DataFrame.unionByName, every), "_used")
+
+
+def blank_names(rows: DataFrame, plain: str = "col__scientific_name", checked: str | None = None, by: str = "data_source_id") -> DataFrame:
+    """Rows and rows without any name of each source."""
+    text = name_text(F.col(checked) if checked else F.lit(None).cast("string"), F.col(plain))
+    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(F.trim(text), F.lit("")) == "").alias("n_blank"))
+
+
 def taxa_index(taxa: DataFrame, outlink: str = "col__alternative_id") -> DataFrame:
     """Index rows of accepted taxa; a taxon's accepted record is itself."""
     record = clean_id(F.col("col__id"))
@@ -49,10 +64,13 @@ def taxa_index(taxa: DataFrame, outlink: str = "col__alternative_id") -> DataFra
 
 
 def synonym_index(synonyms: DataFrame, taxa: DataFrame) -> DataFrame:
-    """Index rows of synonyms (``data_source_id, col__id, col__taxon_id, col__name_id, name, col__status_id``); those of unknown taxa are dropped."""
+    """Index rows of synonyms (``data_source_id, col__id, col__taxon_id, col__name_id, name, col__status_id``).
+
+    Those of unknown taxa are dropped, and those that are their own taxon, whose name the taxon already has.
+    """
     known = taxa.select(F.col("data_source_id").alias("_s"), clean_id(F.col("col__id")).alias("_t")).where("_t is not null").distinct()
     rows = synonyms.withColumn("_taxon", clean_id(F.col("col__taxon_id")))
-    rows = rows.join(known, F.expr("data_source_id = _s and _taxon = _t"), "left_semi")
+    rows = rows.where(~clean_id(F.col("col__id")).eqNullSafe(F.col("_taxon"))).join(known, F.expr("data_source_id = _s and _taxon = _t"), "left_semi")
     status = F.when(F.coalesce("col__status_id", F.lit("")) == "", F.lit("SYNONYM")).otherwise(F.col("col__status_id"))
     nothing = F.lit(None).cast("string")
     return rows.select(

@@ -6,6 +6,7 @@ Operators of the catalogue are applied to the given tables: ``sfga_taxon`` holds
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from taxaloom.functions import codes, text
 from taxaloom.functions.ids import uuid5
 from taxaloom.operators import audit, classification, export, maintain, names, parse, verification, vernacular
-from taxaloom.plans.problems import ROOTED_SQL
-from taxaloom.session import table
+from taxaloom.plans.problems import ROOTED_SQL, sql_uuid
+from taxaloom.session import shared_folder, table
 from taxaloom.sources import archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,12 +70,18 @@ def names_loaded(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""with new as (select distinct {sql_uuid5("col__scientific_name")} id, col__scientific_name name from sfga_taxon where trim(col__scientific_name) <> '')
-select * from new where not exists (select 1 from canonicals c where c.id = new.id)"""
+select * from new where not exists (select 1 from name_strings n where n.id = new.id)"""
 )
 def names_inserted(spark: SparkSession, d: str) -> DataFrame:
-    """Names of the checklists that the canonical names don't hold yet."""
-    taxa, canonicals = _t(spark, d, "sfga_taxon", "canonicals")
-    return names.absent(names.loaded_names(taxa), canonicals, ["id"])
+    """Names of the checklists that aren't stored yet."""
+    taxa, strings = _t(spark, d, "sfga_taxon", "name_strings")
+    return names.absent(names.loaded_names(taxa), strings, ["id"])
+
+
+@query("select data_source_id, count(*) n_rows, count(*) filter (where coalesce(trim(coalesce(nullif(trim(gn__local_id), ''), col__scientific_name)), '') = '') n_blank from sfga_taxon group by 1")
+def blank_names(spark: SparkSession, d: str) -> DataFrame:
+    """Rows without any name, the local id standing for the checked spelling."""
+    return names.blank_names(table(spark, d, "sfga_taxon"), checked="gn__local_id")
 
 
 _LINK = "coalesce(substr(list_filter(list_transform(string_split(col__alternative_id, ','), lambda v: trim(v)), lambda v: starts_with(v, 'gnoutlink:'))[1], 11), '')"
@@ -101,7 +108,7 @@ _SYNONYMS = f"""select i.data_source_id, i.record_id || '|' || coalesce({sql_cle
  {sql_uuid5("n.name")} name_string_id, cast(null as varchar) outlink_id, cast(null as varchar) global_id, cast(null as varchar) local_id, '' as rank,
  lower(i.taxonomic_status) taxonomic_status, {sql_clean("i.accepted_record_id")} accepted_record_id
  from name_string_indices i join (select id, min(name) name from name_strings group by 1) n on n.id = i.name_string_id
- where lower(i.taxonomic_status) like '%synonym%' and exists (select 1 from name_string_indices t where t.data_source_id = i.data_source_id and {sql_clean("t.record_id")} = {sql_clean("i.accepted_record_id")})"""
+ where lower(i.taxonomic_status) like '%synonym%' and {sql_clean("i.record_id")} is distinct from {sql_clean("i.accepted_record_id")} and exists (select 1 from name_string_indices t where t.data_source_id = i.data_source_id and {sql_clean("t.record_id")} = {sql_clean("i.accepted_record_id")})"""
 
 
 @query(_SYNONYMS)
@@ -131,6 +138,20 @@ def bare_names_null_aware(spark: SparkSession, d: str) -> DataFrame:
     return names.not_in(canonicals.select("id", "name"), "id", strings, "canonical_id")
 
 
+_SYNONYM = "taxonomic_status in ('synonym', 'ambiguous synonym', 'misapplied')"
+
+
+@query(
+    f"""select id, name from name_strings where id not in (select name_string_id from name_string_indices where name_string_id is not null and {_SYNONYM} is not true
+ union select name_string_id from name_string_indices where name_string_id is not null and {_SYNONYM})"""
+)
+def bare_names_union(spark: SparkSession, d: str) -> DataFrame:
+    """Names that neither a taxon nor a synonym uses."""
+    indices, strings = _t(spark, d, "name_string_indices", "name_strings")
+    used = indices.where("name_string_id is not null")
+    return names.bare(strings.select("id", "name"), "id", [(export.export_taxa(used), "name_string_id"), (export.export_synonyms(used), "name_string_id")])
+
+
 _BARE = f"""select 0 data_source_id, 'bare-name-' || id record_id, {sql_uuid5("name")} name_string_id, '' outlink_id, '' global_id, '' local_id, '' as rank, 'bare name' taxonomic_status,
  'bare-name-' || id accepted_record_id from ({_FREE})"""
 
@@ -201,44 +222,163 @@ def orphan_canonicals(spark: SparkSession, d: str) -> DataFrame:
     return maintain.orphans(canonicals, "id", left, "canonical_id").select("id", "name")
 
 
-@query()
+_EPITHET = r"[a-z\xDF-\xF6\xF8-\xFF][a-z\xDF-\xF6\xF8-\xFF-]+"
+_GENUS = r"^(?:[x\xD7]\s*)?([A-Z\xC0-\xD6\xD8-\xDE][a-z\xDF-\xF6\xF8-\xFF-]+)"
+_SUB = r"(?: \([A-Z][a-z-]+\))?"
+_MARKERS = r"subsp\.|ssp\.|var\.|subvar\.|f\.|fo\.|forma|subf\.|cv\.|nothosubsp\.|nothovar\.|morph|ab\."
+_TAKEN = "in|ex|et|and|de|von|van|da|del|der|du|le|la|bis|filius"
+_SPECIES = rf"{_GENUS}{_SUB}(?: [x\xD7])? ({_EPITHET})(?: |,|$)"
+
+
+def _sql_stem(w: str) -> str:
+    return f"regexp_replace({w}, '^(.{{2,}}?)(?:ibus|arum|orum|ius|ium|us|um|is|os|on|as|es|ae|am|ei|ii|a|e|i|o|u)$', '\\1')"
+
+
+def _joined(*parts: str) -> str:
+    return f"array_to_string(list_filter([{', '.join(parts)}], lambda x: x <> ''), ' ')"
+
+
+def parsed_sql(rows: str, code: str = "0") -> str:
+    """Tables ``w0`` to ``parsed``: the rows of a query with ``name``, and the parts of their names under a code."""
+    return rf"""w0 as (select *, trim(regexp_replace(name, '\s+', ' ', 'g')) tx, coalesce({code}, 0) cd from ({rows})),
+ w1 as (select *, coalesce(regexp_extract(tx, '{_GENUS}', 1), '') genus, coalesce(regexp_extract(tx, '{_SPECIES}', 2), '') ep,
+   coalesce(regexp_matches(tx, '(?i)\b(?:[a-z-]*virus(?:es)?|[a-z-]*viroids?|[a-z-]*phages?|prions?)\b'), false) or cd = 4 p_virus,
+   coalesce(regexp_matches(tx, '\b(?:sp|spp|cf|aff|nr)\.|\bindet\b'), false) p_surrogate from w0),
+ w2 as (select *, genus <> '' and not p_virus ok, case when ep <> '' then regexp_extract(tx, '{_GENUS}{_SUB} {_EPITHET} (?:[^|]*? )?(?:{_MARKERS}) ({_EPITHET})(?: |,|$)', 2) else '' end marked,
+   case when ep <> '' then regexp_extract(tx, '{_GENUS}{_SUB} {_EPITHET} ({_EPITHET})(?: |,|$)', 2) else '' end third from w1),
+ w3 as (select *, case when marked <> '' then marked when regexp_matches(third, '^(?:{_TAKEN})(?:[^A-Za-z0-9_]|$)') then '' else third end infra,
+   case when marked <> '' then regexp_extract(tx, ' ({_MARKERS}) {_EPITHET}(?: |,|$)', 1) else '' end marker from w2),
+ parsed as (select * exclude (tx, cd, genus, ep, ok, marked, third, infra, marker), case when ok and not p_surrogate then {_joined('genus', 'ep', 'infra')} when ok then genus end p_simple,
+   case when ok and not p_surrogate and marker <> '' then {_joined('genus', 'ep', 'marker', 'infra')} end p_full,
+   case when ok and not p_surrogate and ep <> '' then {_joined('genus', _sql_stem('ep'), _sql_stem('infra'))} end p_stem,
+   case when ok and not p_surrogate then 1 + (ep <> '')::int + (infra <> '')::int end p_cardinality,
+   case when ok then try_cast(regexp_extract(tx, '\b(1[5-9]\d\d|20\d\d)[a-z]?\)?$', 1) as smallint) end p_year, cd = 3 p_bacteria,
+   case when not ok and not p_virus then 0 when p_surrogate then 3 when name is null then 0 when regexp_matches(tx, '[^\p{{L}}0-9 .,&()\x27-]') or tx <> name then 2 else 1 end p_quality,
+   case when ep <> '' then regexp_replace(tx, '{_SPECIES}', ' ') when cd = 2 then regexp_replace(tx, '{_GENUS}', '') else regexp_replace(tx, '{_GENUS}{_SUB}', '') end p_tail from w3)"""
+
+
+_PARTS = ("simple", "full", "stem", "cardinality", "year", "virus", "bacteria", "surrogate", "quality")
+_PARSED = ", ".join([*(f"p_{x} parsed_{x}" for x in _PARTS), *(f"{sql_uuid5(f'p_{x}')} parsed_{x}_id" for x in ("simple", "full", "stem"))])
+
+
+@query(f"with {parsed_sql('select id, name from name_strings')} select id, name, {_PARSED} from parsed")
 def parse_names(spark: SparkSession, d: str) -> DataFrame:
     """Canonical forms, year, cardinality, flags and quality of every name."""
     return parse.parse(table(spark, d, "name_strings").select("id", "name"))
 
 
-@query()
+_CODED = "select i.data_source_id, i.record_id, i.code_id, n.name from name_string_indices i join (select id, min(name) name from name_strings group by 1) n on n.id = i.name_string_id"
+
+
+@query(f"with {parsed_sql(_CODED, 'code_id')} select data_source_id, record_id, code_id, name, {_PARSED} from parsed")
+def parse_by_code(spark: SparkSession, d: str) -> DataFrame:
+    """The same of every record's name under the record's code."""
+    indices, strings = _t(spark, d, "name_string_indices", "name_strings")
+    text = strings.groupBy(F.col("id").alias("_id")).agg(F.min("name").alias("name"))
+    rows = indices.select("data_source_id", "record_id", "code_id", "name_string_id").join(text, F.col("name_string_id") == F.col("_id"))
+    return parse.parse(rows.select("data_source_id", "record_id", "code_id", "name"), code=F.col("code_id"))
+
+
+def _reparsed(spark: SparkSession, d: str) -> DataFrame:
+    strings = table(spark, d, "name_strings")
+    return parse.changed(parse.with_bacteria(parse.parse(strings), parse.bacterial_genera(strings)))
+
+
+_STORED = "canonical_id, surrogate, virus, bacteria, parse_quality"
+_CHANGED = f"""{parsed_sql('select * from name_strings')},
+ genera as (select split_part(p_simple, ' ', 1) g from parsed where p_simple is not null group by 1 having sum(case bacteria when true then 1 when false then -1 else 0 end) > 0),
+ told as (select * exclude (p_bacteria), p_bacteria or coalesce(split_part(p_simple, ' ', 1) in (select g from genera), false) p_bacteria, {sql_uuid5('p_simple')} p_id from parsed),
+ changed as (select *, {sql_uuid5('p_full')} f_id, {sql_uuid5('p_stem')} s_id from told where not (coalesce(parse_quality, 0) + p_quality = 0 and not p_virus)
+   and case when p_simple is null then coalesce(virus, false) <> p_virus else {sql_uuid('canonical_id')} is distinct from p_id or coalesce(surrogate, false) <> p_surrogate
+     or coalesce(bacteria, false) <> p_bacteria or coalesce(virus, false) <> p_virus end)"""
+
+
+@query(f"with {_CHANGED} select id, name, canonical_id, p_id parsed_simple_id, p_virus parsed_virus, p_bacteria parsed_bacteria, p_surrogate parsed_surrogate from changed")
 def reparse_changes(spark: SparkSession, d: str) -> DataFrame:
     """Names whose stored canonical id or flags differ from the parsed ones."""
-    return parse.changed(parse.parse(table(spark, d, "name_strings"))).select("id", "name", "canonical_id", "parsed_simple_id", "parsed_virus", "parsed_surrogate")
+    return _reparsed(spark, d).select("id", "name", "canonical_id", "parsed_simple_id", "parsed_virus", "parsed_bacteria", "parsed_surrogate")
+
 
+_WRITTEN = {"canonical_id": "simple_id", "canonical_full_id": "full_id", "canonical_stem_id": "stem_id", "virus": "virus", "bacteria": "bacteria", "surrogate": "surrogate", "parse_quality": "quality"}
+_NEW = {"canonical_id": "p_id", "canonical_full_id": "f_id", "canonical_stem_id": "s_id", "virus": "p_virus", "bacteria": "p_bacteria", "surrogate": "p_surrogate", "parse_quality": "p_quality"}
 
-@query()
+
+@query(
+    f"""with {_CHANGED}, new as (select id i, min({{{', '.join(f"'{k}': {v}" for k, v in _NEW.items())}}}) v from changed group by 1)
+ select {', '.join(f"case when i is null then {c} else v.{c} end {c}" if c in _NEW else c for c in ('id', 'name', 'year', 'cardinality', *_NEW, 'loaded_at', 'deleted_at'))} from name_strings left join new on i = id"""
+)
 def reparse_update(spark: SparkSession, d: str) -> DataFrame:
-    """The names after the update."""
-    strings = table(spark, d, "name_strings")
-    new = parse.changed(parse.parse(strings)).select("id", F.col("parsed_simple_id").alias("canonical_id"), F.col("parsed_virus").alias("virus"), F.col("parsed_surrogate").alias("surrogate"))
-    return maintain.updated(strings, new.dropDuplicates(["id"]), "id", ["canonical_id", "virus", "surrogate"])
+    """The names after the update; of rows of one id that parse differently the least holds."""
+    changes = _reparsed(spark, d).groupBy("id").agg(F.min(F.struct(*(F.col(f"parsed_{v}").alias(k) for k, v in _WRITTEN.items()))).alias("v"))
+    return maintain.updated(table(spark, d, "name_strings"), changes.select("id", "v.*"), "id", list(_WRITTEN))
+
 
+def _forms(spark: SparkSession, d: str, part: str) -> DataFrame:
+    """Canonical forms of one kind of all names."""
+    rows = parse.parse(table(spark, d, "name_strings").select("name"))
+    return rows.where(f"parsed_{part} <> ''").select(F.col(f"parsed_{part}_id").alias("id"), F.col(f"parsed_{part}").alias("name")).distinct()
 
-@query()
+
+@query(
+    f"""with {parsed_sql('select name from name_strings')} select distinct {sql_uuid5('p_simple')} id, p_simple name from parsed
+ where p_simple <> '' and {sql_uuid5('p_simple')} not in (select id from canonicals)"""
+)
 def canonicals_inserted(spark: SparkSession, d: str) -> DataFrame:
     """Canonical names of parsed names that aren't stored yet."""
-    strings, canonicals = _t(spark, d, "name_strings", "canonicals")
-    new = parse.parse(strings).where("parsed_simple <> ''").select(F.col("parsed_simple_id").alias("id"), F.col("parsed_simple").alias("name")).distinct()
-    return names.absent(new, canonicals, ["id"])
+    return names.absent(_forms(spark, d, "simple"), table(spark, d, "canonicals"), ["id"])
+
+
+@query(f"with {parsed_sql('select name from name_strings')} select distinct {sql_uuid5('p_full')} id, p_full name from parsed where p_full <> ''")
+def full_canonicals_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """Full canonical forms, of names where they differ from the simple ones."""
+    return _forms(spark, d, "full")
+
 
+@query(f"with {parsed_sql('select name from name_strings')} select distinct {sql_uuid5('p_stem')} id, p_stem name from parsed where p_stem <> ''")
+def stem_canonicals_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """Stemmed canonical forms."""
+    return _forms(spark, d, "stem")
 
-@query()
+
+_USED = f"""with {parsed_sql('select id, name from name_strings')},
+ left_over as (select * from parsed p where exists (select 1 from name_string_indices i where i.name_string_id = p.id))"""
+
+
+@query(
+    f"""{_USED} select 'full' form, f.* from (select distinct {sql_uuid5('p_full')} id, p_full name from parsed where p_full <> '') f where id not in (select {sql_uuid5('p_full')} from left_over where p_full is not null)
+ union all select 'stem', s.* from (select distinct {sql_uuid5('p_stem')} id, p_stem name from parsed where p_stem <> '') s where id not in (select {sql_uuid5('p_stem')} from left_over where p_stem is not null)"""
+)
+def orphan_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Full and stemmed canonical forms that no name with an index row uses."""
+    indices, strings = _t(spark, d, "name_string_indices", "name_strings")
+    rows = parse.parse(strings.select("id", "name"))
+    left, _ = maintain.cascade(rows, indices, {})
+    of = lambda part: maintain.orphans(_forms(spark, d, part), "id", left, f"parsed_{part}_id").select(F.lit(part).alias("form"), "id", "name")
+    return of("full").unionByName(of("stem"))
+
+
+_WORDS = rf"""{parsed_sql('select distinct id, name from name_strings')},
+ fine as (select id, name, p_simple, string_split(p_simple, ' ') p, regexp_extract_all(regexp_replace(p_tail, '\b(?:subgen|subg|sect|subsect|ser|subser)\. \p{{Lu}}[\p{{L}}-]+', '', 'g'), '(?:^|[ (.])(\p{{Lu}}[\p{{L}}''-]+)', 1) a
+   from parsed where p_simple is not null and not p_surrogate and not regexp_matches(name, '(?:^|\s)[x\xD7]\s')),
+ one as (select id, p_simple, unnest(list_distinct(list_concat(list_transform(range(2, len(p) + 1), lambda k: {{'w': p[k], 'm': {_sql_stem('p[k]')}, 't': case when k = 2 then 2 else 3 end}}),
+   list_transform(a, lambda x: {{'w': x, 'm': lower(x), 't': 4}})))) e from fine),
+ word as (select id, {sql_uuid5('p_simple')} canonical_id, {sql_uuid5("(e.m || '|' || e.t)")} word_id, e.w normalized, e.m modified, e.t type_id from one)"""
+
+
+def _words(spark: SparkSession, d: str) -> DataFrame:
+    return parse.words(table(spark, d, "name_strings").select("id", "name").distinct())
+
+
+@query(f"with {_WORDS} select distinct word_id, id name_string_id, canonical_id from word")
 def word_links(spark: SparkSession, d: str) -> DataFrame:
-    """Words of names, linked to the names."""
-    return parse.words(table(spark, d, "name_strings").select("id", "name").distinct()).select("word_id", F.col("id").alias("name_string_id")).distinct()
+    """Words of names, linked to the names and their canonical forms."""
+    return _words(spark, d).select("word_id", F.col("id").alias("name_string_id"), "canonical_id").distinct()
 
 
-@query()
+@query(f"with {_WORDS} select distinct word_id, normalized, modified, type_id from word")
 def words(spark: SparkSession, d: str) -> DataFrame:
     """Distinct words."""
-    return parse.words(table(spark, d, "name_strings").select("id", "name").distinct()).select("word_id", "normalized", "modified", "type_id").dropDuplicates(["word_id", "normalized"])
+    return _words(spark, d).select("word_id", "normalized", "modified", "type_id").distinct()
 
 
 _FLAT = "list_filter([{}], lambda n: coalesce(n.name, '') <> '')".format(", ".join(f"{{'name': col__{r}, 'rank': '{r}', 'id': coalesce(sf__{r}_id, '')}}" for r in codes.GIVEN_RANKS))
@@ -258,8 +398,9 @@ def flat_classification(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""{ROOTED_SQL}, {_HELD},
  step as (select w.data_source_id, w.start id, w.cur, w.n from walk w join ok o on o.data_source_id = w.data_source_id and o.id = w.start union all select data_source_id, id, id, 0 from ok),
- path as (select s.data_source_id, s.id, list({{'name': coalesce(w.col__scientific_name, ''), 'rank': coalesce(lower(w.col__rank_id), ''), 'id': w.id}} order by s.n desc) p
-   from step s join own w on w.data_source_id = s.data_source_id and w.id = s.cur group by 1, 2)
+ {parsed_sql('select distinct col__scientific_name as name from sfga_taxon')},
+ path as (select s.data_source_id, s.id, list({{'name': coalesce(c.p_simple, ''), 'rank': coalesce(lower(w.col__rank_id), ''), 'id': w.id}} order by s.n desc) p
+   from step s join own w on w.data_source_id = s.data_source_id and w.id = s.cur left join parsed c on c.name = w.col__scientific_name group by 1, 2)
  select data_source_id, id, {_JOINED} from (select w.data_source_id, w.id, case when coalesce(len(p), 0) < 2 then list_concat(w.f, coalesce(p, [])) else p end f
    from own w left join path on path.data_source_id = w.data_source_id and path.id = w.id)"""
 )
@@ -268,50 +409,87 @@ def breadcrumbs(spark: SparkSession, d: str) -> DataFrame:
     return classification.breadcrumbs(table(spark, d, "sfga_taxon"))
 
 
-_UNFOLD = ", ".join(f"nullif(list_filter(z, lambda x: lower(x.r) = '{r}')[-1].n, '') name_{r}" for r in codes.FLAT_RANKS)
+# The ranks of an export, written out here to be independent of the code.
+_RANKS = "kingdom phylum subphylum class subclass order suborder superfamily family subfamily tribe subtribe genus subgenus species".split()
+_RANKED = "(" + ", ".join(f"'{r}'" for r in _RANKS) + ")"
+_DICT = """r as (select c.name, lower(i.rank) as rank, case when split_part(i.classification, '|', 1) = 'Monalia' then 'iczn' when split_part(i.classification, '|', 1) = 'Phytalia' then 'icn' end code,
+  list_position([1, 3, 9], i.data_source_id) p from name_string_indices i join name_strings n on n.id = i.name_string_id join canonicals c on c.id = n.canonical_id
+  where i.data_source_id in (1, 3, 9) and lower(i.rank) in ('kingdom', 'phylum', 'subphylum', 'class', 'order', 'suborder', 'superfamily', 'family', 'subfamily', 'tribe', 'subtribe', 'genus', 'subgenus', 'section', 'species')
+   and i.taxonomic_status not in ('synonym', 'ambiguous synonym', 'misapplied') and c.name <> '' and c.name not like '% %'),
+ dict as (select name, min({'p': p, 'rank': rank, 'code': code}).rank as rank, min({'p': p, 'rank': rank, 'code': code}).code code from r where code is not null group by 1)"""
+
 
+def _dictionary(spark: SparkSession, d: str) -> DataFrame:
+    return audit.rank_dictionary(*_t(spark, d, "name_string_indices", "name_strings", "canonicals"), [1, 3, 9], {"Monalia": "iczn", "Phytalia": "icn"})
 
-@query(
-    f"""select data_source_id, record_id, {_UNFOLD}, case when len(i) >= 2 then nullif(i[-2], '') end parent_id from (
- select data_source_id, record_id, list_transform(list_zip(string_split(coalesce(classification_ranks, ''), '|'), string_split(coalesce(classification, ''), '|')), lambda p: {{'r': p[1], 'n': p[2]}}) z,
- string_split(coalesce(classification_ids, ''), '|') i from name_string_indices)"""
-)
-def unfolded_classification(spark: SparkSession, d: str) -> DataFrame:
-    """Names by rank and the parent's id from packed classifications."""
-    return classification.unfolded(table(spark, d, "name_string_indices"))
+
+@query(f"with {_DICT} select * from dict")
+def rank_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks and codes of one-word names in trusted sources."""
+    return _dictionary(spark, d)
 
 
-def _sql_rank(name: str, code: str) -> str:
-    rules = " ".join(f"when lower({name}) like '%{s}'{'' if n is None else f' and {code} = {n}'} then '{r}'" for s, r, n in codes.SUFFIXES)
-    return f"case {rules} else '' end"
+def _sql_rank(name: str, code: str, rank: str) -> str:
+    low = f"lower({name})"
+    return f"""case when lower({rank}) in {_RANKED} then {rank} when {low} like '%aceae' then 'family' when {low} like '%oideae' then 'subfamily' when {low} like '%eae' then 'tribe' when {low} like '%ales' then 'order'
+ when {low} like '%ineae' then 'suborder' when {low} like '%idae' then 'family' when {low} like '%ini' then 'tribe' when {low} like '%oidea' then 'superfamily'
+ when {low} like '%opsida' or {low} like '%mycetes' or {low} like '%phyceae' then 'class' when {low} like '%phyta' or {low} like '%mycota' then 'phylum'
+ when {low} like '%inae' and {code} = 2 then 'subtribe' when {low} like '%inae' then 'subfamily' when {low} like '%ina' and {code} = 1 then 'subtribe' else '' end"""
 
 
-@query(f"select data_source_id, col__id, col__scientific_name name, {_sql_rank('col__scientific_name', '1')} rank_zoo, {_sql_rank('col__scientific_name', '2')} rank_bot from sfga_taxon")
-def rank_inference(spark: SparkSession, d: str) -> DataFrame:
-    """Ranks that suffixes tell under either code."""
-    n = F.col("col__scientific_name")
-    return table(spark, d, "sfga_taxon").select("data_source_id", "col__id", n.alias("name"), codes.rank_by_suffix(n, F.lit(1)).alias("rank_zoo"), codes.rank_by_suffix(n, F.lit(2)).alias("rank_bot"))
+_VOTED = """texts as (select distinct classification c from name_string_indices where classification <> ''),
+ node as (select c, unnest(string_split(c, '|')) nm, generate_subscripts(string_split(c, '|'), 1) k from texts),
+ voted as (select c, case when sum(b) > 0 then 1 when sum(b) < 0 then 2 else 0 end v, list(nm order by k) ns, list(rank order by k) rs from (select c, nm, k, d.rank, case when d.name is not null then
+   case d.code when 'iczn' then 1 when 'icn' then -1 else 0 end when regexp_matches(lower(nm), '(idae|ini)$') then 1 when regexp_matches(lower(nm), '(aceae|oideae|eae)$') then -1 else 0 end b
+   from node left join dict d on d.name = nm) group by 1)"""
+_PAIRED_UP = f"""given as (select i.*, ns, rs, case when coalesce(code_id, 0) <> 0 then code_id else coalesce(v, 0) end cd from name_string_indices i left join voted on c = classification),
+ ranked as (select *, case when coalesce(classification_ranks, '') <> '' then string_split(lower(classification_ranks), '|')
+   else list_transform(range(1, len(ns) + 1), lambda k: lower({_sql_rank('ns[k]', 'cd', 'rs[k]')})) end rr, string_split(classification, '|') nn, string_split(coalesce(classification_ids, ''), '|') ii from given),
+ z as (select *, list_transform(range(1, least(len(rr), len(nn)) + 1), lambda k: {{'r': rr[k], 'n': nn[k], 'i': ii[k]}}) zz from ranked)"""
+_UNFOLD = ", ".join(f"nullif(list_filter(zz, lambda x: x.r = '{r}')[-1].{k}, '') {n}_{r}" for n, k in (("name", "n"), ("id", "i")) for r in _RANKS)
+
+
+@query(f"with {_DICT}, {_VOTED}, {_PAIRED_UP} select data_source_id, record_id, {_UNFOLD}, case when coalesce(classification, '') <> '' and len(ii) >= 2 then nullif(ii[-2], '') end parent_id from z")
+def unfolded_classification(spark: SparkSession, d: str) -> DataFrame:
+    """Names and ids by rank and the parent's id from packed classifications."""
+    return classification.unfolded(table(spark, d, "name_string_indices"), _dictionary(spark, d))
+
+
+_BARE_RANKS = "select * replace (null as classification_ranks) from name_string_indices"
 
 
-_BALLOT = "case " + " ".join(f"when lower(n) like '%{s}' then {1 if c == 1 else -1}" for s, c in reversed(list(codes.VOTES.items()))) + " else 0 end"
+@query(f"with {_DICT}, {_VOTED}, {_PAIRED_UP.replace('name_string_indices', f'({_BARE_RANKS})')} select data_source_id, record_id, {_UNFOLD}, case when coalesce(classification, '') <> '' and len(ii) >= 2 then nullif(ii[-2], '') end parent_id from z")
+def unfolded_without_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """The same if no record gave ranks: all are inferred from the dictionary, the code and the suffixes."""
+    rows = table(spark, d, "name_string_indices").withColumn("classification_ranks", F.lit(None).cast("string"))
+    return classification.unfolded(rows, _dictionary(spark, d))
 
 
 @query(
-    f"""select data_source_id, record_id, cast(case when v > 0 then 1 when v < 0 then 2 else 0 end as smallint) code from (
- select data_source_id, record_id, list_sum(list_transform(string_split(coalesce(classification, ''), '|'), lambda n: {_BALLOT})) v from name_string_indices)"""
+    f"""with {_DICT} select data_source_id, col__id, col__scientific_name as name, {_sql_rank('col__scientific_name', '1', 'd.rank')} rank_zoo, {_sql_rank('col__scientific_name', '2', 'd.rank')} rank_bot
+ from sfga_taxon left join dict d on d.name = col__scientific_name"""
 )
+def rank_inference(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks that the dictionary or suffixes tell under either code."""
+    rows = table(spark, d, "sfga_taxon").select("data_source_id", "col__id", F.col("col__scientific_name").alias("name"))
+    return classification.inferred_ranks(rows, "name", _dictionary(spark, d), {"rank_zoo": F.lit(1), "rank_bot": F.lit(2)})
+
+
+@query(f"with {_DICT}, {_VOTED} select data_source_id, record_id, cast(coalesce(v, 0) as smallint) code from name_string_indices left join voted on c = classification")
 def code_vote(spark: SparkSession, d: str) -> DataFrame:
     """Code that the names of each classification vote for."""
-    return table(spark, d, "name_string_indices").select("data_source_id", "record_id", codes.code_vote(F.col("classification")).alias("code"))
+    rows = table(spark, d, "name_string_indices").select("data_source_id", "record_id", "classification")
+    told = classification.votes(rows, _dictionary(spark, d)).select(F.col("classification").alias("_c"), "code")
+    return rows.join(told, F.col("classification") == F.col("_c"), "left").select("data_source_id", "record_id", F.coalesce("code", F.lit(0)).cast("smallint").alias("code"))
 
 
 @query(
-    """select data_source_id, lower(col__rank_id) as rank, lower(col__status_id) status, count(*) n_rows,
- cast(case upper(col__status_id) when 'ZOOLOGICAL' then 1 when 'BOTANICAL' then 2 when 'BACTERIAL' then 3 when 'VIRUS' then 4 else 0 end as smallint) code from sfga_taxon group by all"""
+    """select data_source_id, lower(rank) as rank, lower(taxonomic_status) status, count(*) n_rows, cast(case code_id when 1 then 1 when 2 then 2 when 3 then 3 else 0 end as smallint) code from name_string_indices group by all"""
 )
 def codes_and_ranks(spark: SparkSession, d: str) -> DataFrame:
-    """Taxa by rank, state and code number."""
-    rows = table(spark, d, "sfga_taxon").select("data_source_id", F.lower("col__rank_id").alias("rank"), F.lower("col__status_id").alias("status"), codes.code_number(F.col("col__status_id")).alias("code"))
+    """Records by rank, state and code number, the number read from the code's word in any case."""
+    word = F.element_at(F.array(*map(F.lit, ("none", "Zoological", "BOTANICAL", "bacterial"))), F.coalesce("code_id", F.lit(0)).cast("int") + 1)
+    rows = table(spark, d, "name_string_indices").select("data_source_id", F.lower("rank").alias("rank"), F.lower("taxonomic_status").alias("status"), codes.code_number(word).alias("code"))
     return rows.groupBy("data_source_id", "rank", "status", "code").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -321,6 +499,20 @@ def vernacular_strings_loaded(spark: SparkSession, d: str) -> DataFrame:
     return vernacular.strings(table(spark, d, "vernacular_strings"))
 
 
+_LONG = "repeat(name || '; ', 40)"
+
+
+@query(
+    f"""with long as (select distinct {_LONG} t from vernacular_strings where name is not null),
+ fit as (select case when octet_length(encode(t)) <= 500 then t else t[1:list_max(list_filter(range(1, length(t) + 1), lambda k: octet_length(encode(t[1:k])) <= 500))] end name from long)
+ select distinct {sql_uuid5('name')} id, name from fit"""
+)
+def vernacular_strings_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Names repeated forty times, most of which are longer than their column."""
+    rows = table(spark, d, "vernacular_strings").select(F.repeat(F.concat("name", F.lit("; ")), F.lit(40)).alias("name"))
+    return vernacular.strings(rows)
+
+
 @query(
     """select distinct data_source_id, record_id, vernacular_string_id, language, locality, country_code, '' language_orig, '' lang_code, false preferred from vernacular_string_indices"""
 )
@@ -497,17 +689,6 @@ def compared_summary(spark: SparkSession, d: str) -> DataFrame:
     return audit.summary(_samples(spark, d), "data_source_id")
 
 
-@query(
-    f"""with r as (select c.name, lower(i.rank) as rank, case when split_part(i.classification, '|', 1) = 'Monalia' then 'iczn' when split_part(i.classification, '|', 1) = 'Phytalia' then 'icn' end code,
-  list_position([1, 3, 9], i.data_source_id) p from name_string_indices i join name_strings n on n.id = i.name_string_id join canonicals c on c.id = n.canonical_id
-  where i.data_source_id in (1, 3, 9) and lower(i.rank) in ({", ".join(f"'{r}'" for r in codes.FLAT_RANKS)}) and i.taxonomic_status not in {_STATES} and c.name <> '' and c.name not like '% %')
- select name, min({{'p': p, 'rank': rank, 'code': code}}).rank as rank, min({{'p': p, 'rank': rank, 'code': code}}).code code from r where code is not null group by 1"""
-)
-def rank_dictionary(spark: SparkSession, d: str) -> DataFrame:
-    """Ranks and codes of one-word names in trusted sources."""
-    return audit.rank_dictionary(*_t(spark, d, "name_string_indices", "name_strings", "canonicals"), [1, 3, 9], {"Monalia": "iczn", "Phytalia": "icn"})
-
-
 @query("select data_source_id, count(*) n_rows from name_string_indices where data_source_id not in (select data_source_id from sfga_taxon) group by 1")
 def sources_deleted(spark: SparkSession, d: str) -> DataFrame:
     """What is left once all sources with a checklist are removed."""
@@ -529,3 +710,71 @@ def sources_replaced(spark: SparkSession, d: str) -> DataFrame:
 def absent_sources(spark: SparkSession, d: str) -> DataFrame:
     """Sources of the index without a checklist."""
     return maintain.absent_keys(*_t(spark, d, "name_string_indices", "sfga_taxon"), "data_source_id")
+
+
+_GONE = "(select distinct data_source_id from sfga_taxon)"
+
+
+@query(
+    f"""select 'name_string_indices' tab, data_source_id, count(*) n_rows from name_string_indices where data_source_id not in {_GONE} group by 2
+ union all select 'vernacular_string_indices', data_source_id, count(*) from vernacular_string_indices where data_source_id not in {_GONE} group by 2
+ union all select 'data_sources', id, count(*) from (select distinct data_source_id id from name_string_indices) where id not in {_GONE} group by 2"""
+)
+def sources_removed(spark: SparkSession, d: str) -> DataFrame:
+    """What is left in all three tables once all sources with a checklist are removed."""
+    indices, vernaculars, gone = _t(spark, d, "name_string_indices", "vernacular_string_indices", "sfga_taxon")
+    tables = {"name_string_indices": (indices, "data_source_id"), "vernacular_string_indices": (vernaculars, "data_source_id"), "data_sources": (indices.select(F.col("data_source_id").alias("id")).distinct(), "id")}
+    left = maintain.removed(tables, gone)
+    per = [df.groupBy(F.col(tables[t][1]).alias("data_source_id")).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("tab"), "data_source_id", "n_rows") for t, df in left.items()]
+    return per[0].unionByName(per[1]).unionByName(per[2])
+
+
+_VERN = ["record_id", "vernacular_string_id", "language", "language_orig", "lang_code", "locality", "country_code"]
+
+
+def _vern_sql(copy: str) -> str:
+    order = ", ".join(f"{c} nulls first" for c in _VERN)
+    return f"select data_source_id g, {{{', '.join(f'{c!r}: {c}' for c in _VERN)}}} v, row_number() over (partition by data_source_id order by {order}) k from {copy} qualify k <= 50"
+
+
+_TIDIED = "(select * replace (lower(trim(language)) as language) from vernacular_string_indices)"
+
+
+@query(
+    f"""with a as ({_vern_sql("vernacular_string_indices")}), b as ({_vern_sql(_TIDIED)}),
+ paired as (select coalesce(a.g, b.g) data_source_id, coalesce(a.k, b.k) place, a.v is not distinct from b.v same from a full join b on a.g is not distinct from b.g and a.k = b.k)
+ select data_source_id, bool_and(same) same, count(*) filter (where not same) n_unlike from paired group by 1"""
+)
+def compared_vernaculars(spark: SparkSession, d: str) -> DataFrame:
+    """First vernacular rows of each source as stored against those with tidied languages, paired by place."""
+    rows = table(spark, d, "vernacular_string_indices").select("data_source_id", *_VERN)
+    pairs = audit.compared_samples(rows, rows.withColumn("language", F.lower(F.trim("language"))), "data_source_id", _VERN[:2], _VERN[2:], 50)
+    return audit.summary(pairs, "data_source_id")
+
+
+@query(
+    """with a as (select data_source_id s, count(*) n, count(distinct name) m, max(loaded_at) t from verification_gndb group by 1), b as (select data_source_id s, count(*) n, count(distinct name) m, max(loaded_at) t from verification_togn group by 1)
+ select coalesce(a.s, b.s) data_source_id, a.n is not distinct from b.n n_rows, a.m is not distinct from b.m n_names, a.t is not distinct from b.t last_loaded from a full join b on a.s is not distinct from b.s"""
+)
+def compared_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Whether what is told about each source (rows, names, last load) agrees in two copies."""
+    told = lambda df: df.groupBy("data_source_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("name").alias("n_names"), F.max("loaded_at").alias("last_loaded"))
+    a, b = _t(spark, d, "verification_gndb", "verification_togn")
+    return audit.compared_metadata(told(a), told(b), "data_source_id", ["n_rows", "n_names", "last_loaded"])
+
+
+@query(
+    f"""select 'names' tab, data_source_id, count(*) n_rows from (select distinct i.data_source_id, i.name_string_id from name_string_indices i where i.name_string_id in (select id from name_strings)) group by 2
+ union all select 'taxa', data_source_id, count(*) from name_string_indices where taxonomic_status not in {_STATES} or taxonomic_status is null group by 2
+ union all select 'synonyms', data_source_id, count(*) from name_string_indices where taxonomic_status in {_STATES} group by 2
+ union all select 'vernaculars', data_source_id, count(*) from vernacular_string_indices where vernacular_string_id in (select id from vernacular_strings) group by 2
+ union all select 'classifications', data_source_id, count(*) from name_string_indices group by 2"""
+)
+def export_written(spark: SparkSession, d: str) -> DataFrame:
+    """The five tables of an export written by source; rows read back."""
+    indices, strings, vernaculars, texts = _t(spark, d, "name_string_indices", "name_strings", "vernacular_string_indices", "vernacular_strings")
+    tables = {
+        "names": export.export_names(indices, strings), "taxa": export.export_taxa(indices), "synonyms": export.export_synonyms(indices),
+        "vernaculars": export.export_vernaculars(vernaculars, texts), "classifications": classification.unfolded(indices, _dictionary(spark, d)),
+    }
+    return export.written(tables, f"{shared_folder(spark)}/export-{uuid.uuid4().hex}")

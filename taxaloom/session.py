@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the shared folder named by ``spark.checkpoint.dir``.
 
-    The folder is read from the session; only where none is set (tests, a local run) a temporary one is made.
+    The folder is read from the session; only where none is set and Spark runs inside this process (tests, a local run)
+    a temporary one is made. On a cluster without a shared folder it is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    sc = spark.sparkContext
+    given = sc.getConf().get("spark.checkpoint.dir")
+    if given:
+        return given
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="spark-")

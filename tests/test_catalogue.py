@@ -109,6 +109,33 @@ def test_words(spark):
     assert {(r.id, r.normalized, r.modified, r.type_id) for r in parse.words(df).collect()} == {("1", "alba", "alb", 2), ("1", "Brüskel", "brüskel", 4), ("1", "Newueff", "newueff", 4)}
 
 
+def test_words_behind_a_subgenus(spark):
+    df = spark.createDataFrame([("1", "Aus (Bus) cus Smith, 1900"), ("2", "Aus (Bus) Smith"), ("3", "Aus sect. Bus Jones"), ("4", "Aus cus Smith var. dus (Lee) Kim")], "id string, name string")
+    of = lambda code=None: {i: {r.normalized for r in parse.words(df, code=code).collect() if r.id == i} for i in "1234"}
+    assert of() == {"1": {"cus", "Smith"}, "2": {"Smith"}, "3": {"Jones"}, "4": {"cus", "dus", "Smith", "Lee", "Kim"}}
+    assert of(F.lit(2))["2"] == {"Bus", "Smith"}
+    canonical = {r.canonical_id for r in parse.words(df).where("id = '1'").collect()}
+    assert canonical == {parse.parse(df).where("id = '1'").first().parsed_simple_id}
+
+
+def test_codes_in_parsing(spark):
+    df = spark.createDataFrame([("Aus bus", c) for c in (None, 0, 1, 2, 3, 4, 9)], "name string, code int")
+    got = [(r.parsed_simple, r.parsed_virus, r.parsed_bacteria) for r in parse.parse(df, code=F.col("code")).orderBy(F.col("code").asc_nulls_first()).collect()]
+    assert got == [("Aus bus", False, False)] * 4 + [("Aus bus", False, True), (None, True, False), ("Aus bus", False, False)]
+
+
+def test_changed(spark):
+    from taxaloom.functions.ids import uuid5
+
+    rows = [("same", "Aus bus", False, False, False, 1), ("nulls", "Aus bus", None, None, None, 1), ("bact", "Eus bus", False, False, False, 1), ("eus", "Eus cus", False, True, False, 1), ("unparsed", "??", False, False, False, 0),
+            ("was", "??", False, False, False, 1), ("virus", "Xus virus", None, False, False, 0), ("known", "Xus virus", True, False, False, 0), ("sur", "Aus sp.", False, False, False, 1)]
+    df = spark.createDataFrame(rows, "id string, name string, virus boolean, bacteria boolean, surrogate boolean, parse_quality int").withColumn("canonical_id", uuid5(F.col("name")))
+    df = df.union(df.where("id = 'eus'").withColumn("id", F.lit("eus2"))).withColumn("canonical_id", F.when(F.col("id") == "sur", uuid5(F.lit("Aus"))).when(F.col("id") == "same", F.upper("canonical_id")).otherwise(F.col("canonical_id")))
+    got = {r.id for r in parse.changed(parse.with_bacteria(parse.parse(df), parse.bacterial_genera(df))).collect()}
+    assert got == {"bact", "virus", "sur"}  # null flags are false; an unparsed name only counts if its virus flag differs
+    assert parse.changed(parse.with_bacteria(parse.parse(df.limit(0)), parse.bacterial_genera(df.limit(0)))).collect() == []
+
+
 def test_every_author_is_a_word(spark):
     """However many authors a name has; a null name has none."""
     authors = [f"A{chr(97 + k // 26)}{chr(97 + k % 26)}son" for k in range(150)]
@@ -149,11 +176,35 @@ def test_breadcrumbs(spark):
     assert by_source["3"] == "Plantae|Rosaceae|Rosa"
 
 
+RANKS = "data_source_id int, record_id string, code_id int, classification string, classification_ranks string, classification_ids string"
+
+
 def test_unfolded(spark):
-    rows = [(1, "a", "P|R|R2", "kingdom|family|family", "1|2|3"), (1, "b", None, "", None), (1, "c", "P", "kingdom", "1")]
-    df = spark.createDataFrame(rows, "data_source_id int, record_id string, classification string, classification_ranks string, classification_ids string")
-    got = {r.record_id: (r.name_kingdom, r.name_family, r.parent_id) for r in classification.unfolded(df).collect()}
-    assert got == {"a": ("P", "R2", "2"), "b": (None, None, None), "c": ("P", None, None)}
+    rows = [
+        (1, "a", 0, "P|R|R2", "kingdom|family|family", "1|2|3"), (1, "b", None, None, "", None), (1, "c", 0, "P", "kingdom", "1"), (1, "d", 0, "", "kingdom", "1|2|3"),
+        (1, "e", 0, "A|B|C|D", "kingdom|SubClass|section|family", "1|2|3|4"), (1, "f", 0, "Animalia|Felidae|Felinae|Felis", "", "1|2"), (1, "g", 2, "Xinae|Yina|Zus", None, ""),
+        (1, "h", 0, "Felidae|Xinae|Yina", "", None), (1, "i", 0, "A", "kingdom|phylum", "1|2"), (1, "j", 0, "A|B", "kingdom", "1|"),
+    ]
+    dictionary = spark.createDataFrame([("Animalia", "kingdom", "iczn"), ("Felis", "genus", "iczn"), ("Zus", "section", "icn")], "name string, rank string, code string")
+    made = classification.unfolded(spark.createDataFrame(rows, RANKS), dictionary)
+    assert len(made.columns) == 33 and "name_subclass" in made.columns and "name_section" not in made.columns
+    got = {r.record_id: {k: v for k, v in r.asDict().items() if v is not None and k not in ("data_source_id", "record_id")} for r in made.collect()}
+    assert got["a"] == {"name_kingdom": "P", "id_kingdom": "1", "name_family": "R2", "id_family": "3", "parent_id": "2"}
+    assert got["b"] == got["d"] == {} and got["c"] == {"name_kingdom": "P", "id_kingdom": "1"}
+    assert got["e"] == {"name_kingdom": "A", "id_kingdom": "1", "name_subclass": "B", "id_subclass": "2", "name_family": "D", "id_family": "4", "parent_id": "3"}
+    assert got["f"] == {"name_kingdom": "Animalia", "id_kingdom": "1", "name_family": "Felidae", "id_family": "2", "name_subfamily": "Felinae", "name_genus": "Felis", "parent_id": "1"}
+    assert got["g"] == {"name_subtribe": "Xinae"}  # botany; Zus has a rank that an export lacks
+    assert got["h"] == {"name_family": "Felidae", "name_subfamily": "Xinae", "name_subtribe": "Yina"}  # zoology by vote
+    assert got["i"] == {"name_kingdom": "A", "id_kingdom": "1", "parent_id": "1"} and got["j"] == {"name_kingdom": "A", "id_kingdom": "1", "parent_id": "1"}
+    assert classification.unfolded(spark.createDataFrame(rows[:0], RANKS), dictionary).collect() == []
+    without = classification.unfolded(spark.createDataFrame(rows, RANKS), dictionary.limit(0)).where("record_id = 'f'").first()
+    assert (without.name_kingdom, without.name_family, without.name_subfamily, without.name_genus) == (None, "Felidae", "Felinae", None)
+
+
+def test_votes_of_the_dictionary(spark):
+    rows = spark.createDataFrame([("Animalia|Rosaceae",), ("Xus|Rosaceae",), ("Odd|Felidae",), ("Odd",), ("",), (None,), ("Odd",)], "classification string")
+    dictionary = spark.createDataFrame([("Animalia", "kingdom", "iczn"), ("Xus", "genus", "iczn"), ("Odd", "genus", None)], "name string, rank string, code string")
+    assert {r.classification: r.code for r in classification.votes(rows, dictionary).collect()} == {"Animalia|Rosaceae": 0, "Xus|Rosaceae": 0, "Odd|Felidae": 1, "Odd": 0}
 
 
 def test_languages(spark):
