@@ -1,7 +1,9 @@
 """Differences between two copies of a table, by a column-by-bucket checksum matrix.
 
 Each copy gives, per key bucket and column, an additive wide checksum (the sum of 128-bit hashes of key and value). Only
-buckets with an unequal checksum are read again, joined by key, and only columns unequal somewhere are compared. Which of
+rows of buckets with an unequal checksum are read on: a bitmap with one bit for each bucket, of at most ``MOST_BITS``
+(8 MB), goes to the scan, so that rows of equal buckets are dropped before anything is shuffled; with more buckets than
+that the unequal ones are joined by their number. Only columns unequal somewhere in a bucket are compared there. Which of
 tied rows with different values holds can't be told from hashes: a bucket with such a tie counts as unequal in all columns.
 
 Defined cases: of several rows of a key the one with the latest ``loaded_at`` holds (null is earliest), of ties the one
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.session import cut
 
-ROWS_PER_BUCKET = 8
+ROWS_PER_BUCKET, MOST_BITS = 8, 1 << 26
 WORDS = (0, 1)  # seeds of the two 64-bit words of a hash
 
 
@@ -65,10 +67,32 @@ def unequal(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def bucket_count(rows: int) -> int:
     """A power of two, for about ``ROWS_PER_BUCKET`` keys in a bucket at any size."""
-    return 1 << max(4, (rows // ROWS_PER_BUCKET).bit_length())
+    return 1 << max(6, (rows // ROWS_PER_BUCKET).bit_length())
 
 
-def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], at: str = "loaded_at", only: tuple[str, str] = ("only_a", "only_b")) -> DataFrame:
+def _bit(bucket: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bucket.bitwiseAND(63).cast("int"))
+
+
+def bitmap(bad: DataFrame, buckets: int) -> DataFrame:
+    """One row ``_bits``: an array of ``buckets`` / 64 words, in which the unequal buckets' bits are set."""
+    words = bad.groupBy(F.shiftright("_bucket", 6).alias("_w")).agg(F.bit_or(_bit(F.col("_bucket"))).alias("_b"))
+    every = bad.sparkSession.range(buckets // 64).join(words, F.col("id") == F.col("_w"), "left").select("id", F.coalesce("_b", F.lit(0)).alias("_b"))
+    return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "_b"))), lambda x: x["_b"]).alias("_bits"))
+
+
+def in_buckets(rows: DataFrame, bad: DataFrame, buckets: int, most_bits: int = MOST_BITS) -> DataFrame:
+    """``rows`` (with ``_bucket``) of the buckets of ``bad``, dropped where they are read if the bitmap is within its bound."""
+    if buckets > most_bits:
+        return rows
+    columns = rows.columns
+    here = F.get("_bits", F.shiftright("_bucket", 6).cast("int")).bitwiseAND(_bit(F.col("_bucket"))) != 0
+    return rows.join(F.broadcast(bitmap(bad, buckets)), here).select(*columns)
+
+
+def differences(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str], at: str = "loaded_at", only: tuple[str, str] = ("only_a", "only_b"), most_bits: int = MOST_BITS
+) -> DataFrame:
     """``keys, diff, value_a, value_b``: one row for each key held on one side only and for each differing column."""
     need = [*keys, *columns, at]
     a, b = a.select(*need), b.select(*need)
@@ -78,7 +102,7 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequen
 
     def again(df: DataFrame) -> DataFrame:
         """The holding rows of unequal buckets, with the values of the columns that are unequal there; all columns decide which row holds."""
-        rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).join(here, "_bucket")
+        rows = in_buckets(df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))), bad, buckets, most_bits).join(here, "_bucket")
         held = rows.groupBy("_bucket", *keys).agg(F.max(F.struct(at, *columns)).alias("_held"), *(F.max(f"_{c}").alias(f"_{c}") for c in columns))
         return held.select("_bucket", *keys, *(F.when(F.col(f"_{c}"), F.col(f"_held.{c}")).alias(c) for c in columns))
 

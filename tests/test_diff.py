@@ -56,3 +56,23 @@ def test_the_holding_row_is_chosen_by_all_columns(spark):
     a = [(1, "a", "y", "s", None, 0), (1, "a", "x", "t", None, 0)]
     b = [(1, "a", "y", "r", None, 0)]
     assert found(spark, a, b) == [(1, "a", "status", "s", "r")]
+
+
+def test_beyond_the_bitmap_buckets_are_joined(spark):
+    """Past its bound the bitmap gives way to a join; both give the same."""
+    rng = random.Random(9)
+    rows = [(1, f"r{k}", rng.choice("xyz"), rng.choice(["s", None]), None) for k in range(3000)]
+    other = [r if rng.random() < 0.99 else (*r[:2], "w", *r[3:]) for r in rows]
+    make = lambda t: spark.createDataFrame(t, "data_source_id int, record_id string, name string, status string, loaded_at timestamp_ntz")
+    a, b = make(rows), make(other)
+    of = lambda **k: sorted(map(tuple, diff.differences(a, b, ["data_source_id", "record_id"], ["name", "status"], **k).collect()), key=str)
+    assert of() == of(most_bits=0) and len(of()) == sum(u != v for u, v in zip(rows, other, strict=True))
+
+
+def test_only_rows_of_unequal_buckets_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5000).select(F.pmod("id", F.lit(256)).alias("_bucket"), "id")
+    bad = spark.createDataFrame([(0,), (63,), (64,), (255,)], "_bucket long")
+    assert {r[0] for r in diff.in_buckets(rows, bad, 256).select("_bucket").distinct().collect()} == {0, 63, 64, 255}
+    assert diff.in_buckets(rows, bad.limit(0), 256).count() == 0
