@@ -3,9 +3,10 @@
 Fields that are their values joined by single ``|`` are split by built-in functions. The others are cut in tasks:
 
 * every mark outside quotes is a possible border;
-* whole values that contain marks are known from the fields that are well formed (the dictionary). Each untidy field gets
-  those of them whose text before the first mark occurs in it as a segment, by a join; an automaton over these patterns
-  finds their occurrences;
+* whole values that contain marks are known from the fields that are well formed (the dictionary). Each untidy record gets
+  those of them whose first two segments stand next to each other in it, by a join, so that what a record gets is bounded
+  by what it holds, not by how usual its words are; an automaton over the patterns of a batch of records finds their
+  occurrences;
 * dynamic programming picks the cheapest cover of the segments by known whole values, single segments and, where a field
   uses other marks too, segments joined at commas or slashes; so marks inside legitimate values are protected;
 * the nth values of a record's fields belong together: of two covers that differ in whether commas and slashes are
@@ -18,6 +19,7 @@ quote inside quotes stands for one; records that repeat give repeated rows; extr
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Collection, Iterable, Iterator, Sequence
 
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom.functions.ids import BLANKS
+from taxaloom.session import cut
 
 # Marks used as delimiters. Commas and slashes also occur inside values of fields that are delimited otherwise.
 HARD, SOFT = ("::", "|", ";", ">", "¦", "｜", "\t"), (",", "/")
@@ -40,40 +43,37 @@ UNTIDY = (
     f"|(?:\\A|[|,/]){_BLANK}*[\"']|\\A[^|]*[,/][^|]*\\z"
 )
 KNOWN, SINGLE, JOINED = 10, 20, 21  # costs of a cover's parts
+MARKS = re.compile(MARK.replace("x{a6}", "xa6").replace("x{ff5c}", "uff5c"))
+Cut = tuple[list[tuple[int, int, str | None]], list[str]]
 
 
-def _segments(text: str) -> tuple[list[tuple[int, int, str | None]], list[str]]:
+def _segments(text: str) -> Cut:
     """Segments (start, end, value if quoted) and the marks between them."""
     out, marks, at, n = [], [], 0, len(text)
+    quotes = any(q in text for q in QUOTES)
     while True:
         start = at
-        while start < n and text[start] in BLANKS and text[start] != "\t":
+        while quotes and start < n and text[start] in BLANKS and text[start] != "\t":
             start += 1
-        if start < n and text[start] in QUOTES and (end := _closing(text, start)):
+        if quotes and start < n and text[start] in QUOTES and (end := _closing(text, start)):
             stop = end
             while stop < n and text[stop] in BLANKS and text[stop] != "\t":
                 stop += 1
-            mark = _mark(text, stop)
+            mark = MARKS.match(text, stop)
             if stop == n or mark:
                 q = text[start]
                 out.append((start, end, text[start + 1 : end - 1].replace(q + q, q)))
                 if stop == n:
                     return out, marks
-                marks.append(mark)
-                at = stop + len(mark)
+                marks.append(mark[0])
+                at = mark.end()
                 continue
-        stop = start
-        while stop < n and not (mark := _mark(text, stop)):
-            stop += 1
-        out.append((at, stop, None))
-        if stop >= n:
+        mark = MARKS.search(text, start)
+        out.append((at, mark.start() if mark else n, None))
+        if not mark:
             return out, marks
-        marks.append(mark)
-        at = stop + len(mark)
-
-
-def _mark(text: str, at: int) -> str:
-    return next((m for m in (*HARD, *SOFT) if text.startswith(m, at)), "")
+        marks.append(mark[0])
+        at = mark.end()
 
 
 def _closing(text: str, start: int) -> int:
@@ -86,26 +86,31 @@ def _closing(text: str, start: int) -> int:
     return 0
 
 
-def _cover(text: str, known: ahocorasick.Automaton | None, joints: Collection[str]) -> list[str]:
+def _spans(text: str, segments: list[tuple[int, int, str | None]], known: ahocorasick.Automaton | None) -> dict[int, list[int]]:
+    """Where known whole values of several segments lie: last segment to first segments."""
+    if known is None:
+        return {}
+    begins, ends, spans = {}, {}, {}
+    for k, (a, b, _) in enumerate(segments):
+        inner = text[a:b]
+        begins[a + len(inner) - len(inner.lstrip(BLANKS))] = k
+        ends[a + len(inner.rstrip(BLANKS))] = k
+    for last, pattern in known.iter(text):
+        i, j = begins.get(last + 1 - len(pattern)), ends.get(last + 1)
+        if i is not None and j is not None and j > i:
+            spans.setdefault(j, []).append(i)
+    return spans
+
+
+def _cover(text: str, parts: Cut, spans: dict[int, list[int]], joints: Collection[str]) -> list[str]:
     """The values of the cheapest cover of the field's segments, where marks among ``joints`` may lie inside values."""
-    segments, marks = _segments(text)
+    segments, marks = parts
     if len(marks) == len(segments) - 1 and segments and segments[-1][0] == len(text) and marks:
         segments, marks = segments[:-1], marks[:-1]  # a delimiter that ends the field opens no value
     n = len(segments)
-    begins = {}
-    ends = {}
-    for k, (a, b, _) in enumerate(segments):
-        begins[a + len(text[a:b]) - len(text[a:b].lstrip(BLANKS))] = k
-        ends[a + len(text[a:b].rstrip(BLANKS))] = k
-    spans: dict[int, list[tuple[int, int]]] = {}
-    if known is not None:
-        for last, pattern in known.iter(text):
-            i, j = begins.get(last + 1 - len(pattern)), ends.get(last + 1)
-            if i is not None and j is not None and j > i:
-                spans.setdefault(j, []).append((i, KNOWN))
     best: list[tuple[int, int]] = [(0, 0)]  # cost, start of the last part, for the first k segments
     for j in range(n):
-        options = [(best[j][0] + SINGLE, -j), *((best[i][0] + cost, -i) for i, cost in spans.get(j, []))]
+        options = [(best[j][0] + SINGLE, -j), *((best[i][0] + KNOWN, -i) for i in spans.get(j, []))]
         i = j
         while i > 0 and marks[i - 1] in joints and segments[i][2] is None and segments[i - 1][2] is None:
             i -= 1
@@ -121,27 +126,35 @@ def _cover(text: str, known: ahocorasick.Automaton | None, joints: Collection[st
     return [v.strip(BLANKS) for v in reversed(out)]
 
 
-def split_values(fields: Sequence[str | None], patterns: Iterable[str] = ()) -> list[list[str]]:
-    """The values of each of one record's packed fields."""
-    known = None
+def automaton(patterns: Iterable[str]) -> ahocorasick.Automaton | None:
+    """An automaton over whole values; none if there are none."""
+    known = ahocorasick.Automaton()
     for p in patterns:
-        known = known if known is not None else ahocorasick.Automaton()
         known.add_word(p, p)
-    if known is not None:
-        known.make_automaton()
+    if not len(known):
+        return None
+    known.make_automaton()
+    return known
+
+
+def split_values(fields: Sequence[str | None], patterns: Iterable[str] | ahocorasick.Automaton | None = ()) -> list[list[str]]:
+    """The values of each of one record's packed fields; ``patterns`` are known whole values, or the automaton made of them."""
+    known = patterns if patterns is None or isinstance(patterns, ahocorasick.Automaton) else automaton(patterns)
     covers: list[list[list[str]]] = []
     for text in fields:
         if text is None or not text.strip(BLANKS):
             covers.append([[]])
             continue
-        marks = Counter(_segments(text)[1])
+        parts = _segments(text)
+        spans = _spans(text, parts[0], known)
+        marks = Counter(parts[1])
         soft = [m for m, _ in sorted(((m, marks[m]) for m in SOFT if m in marks), key=lambda x: -x[1])]
         ways = [soft[k:] for k in range(len(soft), -1, -1)] + [[m] for m in soft[:-1]]  # from no joints to all
         if any(m in marks for m in HARD):
             ways = [soft, *(w for w in ways if w != soft)]
         elif len(soft) == 2:
             ways = [soft[1:], *(w for w in ways if w != soft[1:])]
-        covers.append([_cover(text, known, w) for w in ways])
+        covers.append([_cover(text, parts, spans, w) for w in ways])
     counts = Counter(len(c[0]) for c in covers if len(c) == 1 and c[0])
     if counts:
         usual = counts.most_common(1)[0][0]
@@ -155,17 +168,19 @@ def untidy(c: Column) -> Column:
 
 
 def protected_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """The dictionary: distinct whole values with marks, from well-formed fields and from quotes; with ``head``, the text before the first mark."""
+    """The dictionary: distinct whole values with marks, from well-formed fields and from quotes; with their first two segments, ``head`` and ``next``."""
     soft = F.array(*(F.when(~untidy(F.col(f)) & F.col(f).rlike("[,/]"), F.split(f, r"\|")) for f in fields))
     quoted = F.array(*(F.when(F.col(f).contains('"'), F.transform(F.regexp_extract_all(f, F.lit(r'"((?:[^"]|"")*)"'), F.lit(1)), lambda v: F.replace(v, F.lit('""'), F.lit('"')))) for f in fields))
     one = df.where(" or ".join(f"{f} rlike '[,/\"]'" for f in fields)).select(F.explode(F.filter(F.flatten(F.filter(F.concat(soft, quoted), lambda a: a.isNotNull())), lambda v: v.rlike(MARK))).alias("value"))
-    return one.distinct().select("value", F.btrim(F.regexp_replace("value", f"(?s)({MARK}).*", ""), F.lit(BLANKS)).alias("head"))
+    parts = F.split("value", MARK)
+    return one.distinct().select("value", *(F.btrim(F.get(parts, F.lit(k)), F.lit(BLANKS)).alias(c) for k, c in enumerate(("head", "next"))))
 
 
 def _cut(fields: Sequence[str], keys: Sequence[str]):  # noqa: ANN202
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [split_values(row, patterns if patterns is not None else ()) for *row, patterns in zip(*(pdf[f] for f in fields), pdf["_patterns"], strict=True)]
+            known = automaton({v for patterns in pdf["_patterns"] if patterns is not None for v in patterns})
+            made = [split_values(row, known) for row in zip(*(pdf[f] for f in fields), strict=True)]
             yield pdf[list(keys)].assign(**{f: [m[k] for m in made] for k, f in enumerate(fields)})
 
     return run
@@ -181,10 +196,16 @@ def values(df: DataFrame, keys: Sequence[str], fields: Sequence[str], only_untid
     unlike = F.coalesce((F.greatest(*bars) != F.least(*bars)) & F.exists(F.array(*fields), lambda x: x.rlike("[,/]")), F.lit(False))  # null beside a null field
     odd = F.exists(F.array(*(untidy(F.col(f)) for f in fields)), lambda x: x) | unlike
     marked = rows.withColumn("_odd", odd)
-    hard = marked.where("_odd").withColumn("_row", F.xxhash64(*fields))
-    segments = F.flatten(F.filter(F.array(*(F.split(f, MARK) for f in fields)), lambda a: a.isNotNull()))
-    heads = hard.select("_row", F.explode(F.array_distinct(F.transform(segments, lambda s: F.btrim(s, F.lit(BLANKS))))).alias("head")).distinct()
-    patterns = heads.join(protected_values(df, fields), "head").groupBy("_row").agg(F.collect_set("value").alias("_patterns"))
+    hard = cut(marked.where("_odd").withColumn("_row", F.xxhash64(*fields)))  # found once
+
+    def pairs(f: str) -> Column:
+        """Segments of a field that stand next to each other."""
+        s = F.transform(F.split(f, MARK), lambda x: F.btrim(x, F.lit(BLANKS)))
+        return F.when(F.size(s) > 1, F.transform(F.sequence(F.lit(1), F.size(s) - 1), lambda k: F.struct(F.get(s, k - 1).alias("head"), F.get(s, k).alias("next"))))
+
+    beside = F.flatten(F.array_compact(F.array(*map(pairs, fields))))
+    heads = hard.select("_row", F.explode(F.array_distinct(beside)).alias("p")).select("_row", "p.head", "p.next").distinct()
+    patterns = heads.join(protected_values(df, fields), ["head", "next"]).groupBy("_row").agg(F.collect_set("value").alias("_patterns"))
     given = hard.join(patterns, "_row", "left").select(*keys, *fields, "_patterns")
     raw = [F.col(f).alias(f"_raw_{f}") for f in fields]
     given = given.select(*keys, *raw, *fields, "_patterns")
