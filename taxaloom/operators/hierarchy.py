@@ -19,8 +19,6 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,13 +38,17 @@ def links(df: DataFrame, key: str = "data_source_id", node: str = "col__id", par
     return held.select("grp", "id", F.when(F.col("held.parent") != F.col("id"), F.col("held.parent")).alias("parent"))
 
 
-def in_chunks(held: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Deals each group's links into chunks of about ``chunk_rows``; adds ``chunks`` and ``chunk``."""
-    sizes = held.groupBy(F.col("grp").alias("g")).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks"))
+def in_chunks(held: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Deals each group's links into its number of chunks, by a hash of the id; adds ``chunks`` and ``chunk``."""
     dealt = held.join(sizes, F.expr("grp <=> g")).select("grp", "id", "parent", "chunks")
     return dealt.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
 
 
+def chunk_counts(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
+    """Chunks of each group, from its number of rows: one column is read, the links themselves aren't made twice."""
+    return df.groupBy(F.col(key).alias("g")).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks"))
+
+
 def compressed(parent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weighted find over parent positions (-1: none in this chunk): top, offset below it, is on a circle, leads to one."""
     n = len(parent)
@@ -74,9 +76,9 @@ def _forest(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def forests(held: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def forests(df: DataFrame, chunk_rows: int = CHUNK_ROWS, key: str = "data_source_id", **columns: str) -> DataFrame:
     """Each chunk's forest: for every node its local ``top``, offset ``off``, the parent ``outside`` the chunk, ``state``."""
-    dealt = in_chunks(held, chunk_rows)
+    dealt = in_chunks(links(df, key, **columns), chunk_counts(df, key, chunk_rows))
     kind = dict(dealt.dtypes)["grp"]
     schema = f"grp {kind}, chunks long, chunk int, id string, parent string, top string, off long, outside string, state string"
     return dealt.groupBy("grp", "chunk").applyInPandas(_forest, schema)
@@ -131,7 +133,7 @@ def resolved(df: DataFrame, chunk_rows: int = CHUNK_ROWS, **columns: str) -> Dat
     ``depth`` counts steps below the root. ``state`` is ``rooted``, ``cycle`` (a link of a circle) or ``below_cycle``;
     the latter two have neither root nor depth. See the module for the defined cases.
     """
-    local = cut(forests(links(df, **columns), chunk_rows))
+    local = cut(forests(df, chunk_rows, **columns))
     border, circle = _merged(local)
     up = border.select(F.col("grp").alias("g"), F.col("id").alias("i"), F.col("root").alias("r"), F.col("depth").alias("d"), F.col("state").alias("s"))
     whole = local.where("outside is null").select("grp", "id", "parent", "top", "off", "state", F.lit(None).cast("string").alias("r"), F.lit(None).cast("long").alias("d"), F.lit(None).cast("string").alias("s"))
@@ -170,7 +172,7 @@ def _segments(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def paths(df: DataFrame, chunk_rows: int = CHUNK_ROWS, **columns: str) -> DataFrame:
     """Every rooted node's ``path`` of ids from its root down to itself: ``grp, id, path``. Nodes on or below circles have none."""
-    local = cut(forests(links(df, **columns), chunk_rows))
+    local = cut(forests(df, chunk_rows, **columns))
     kind = dict(local.dtypes)["grp"]
     segs = local.where(F.col("state") == ROOTED).select("grp", "chunk", "id", "parent", "outside").groupBy("grp", "chunk").applyInPandas(_segments, f"grp {kind}, id string, seg array<string>, outside string")
     segs = cut(segs)
@@ -204,8 +206,3 @@ def descendants(path_rows: DataFrame) -> DataFrame:
     return path_rows.select("grp", F.col("id").alias("descendant"), F.posexplode(F.slice("path", 1, n - 1)).alias("at", "ancestor"), n.alias("n")).select(
         "grp", "ancestor", "descendant", (F.col("n") - 1 - F.col("at")).alias("distance")
     )
-
-
-def parts(columns: Iterable[str]) -> list[str]:
-    """Names of the eight flat ranks' columns, in order of rank."""
-    return [c for r in columns for c in (f"col__{r}", f"sf__{r}_id")]
