@@ -4,6 +4,11 @@ Texts are exploded to positioned code points; a broadcast join brings each code
 marks behind a base letter are ordered by combining class; the pieces are put together again and recomposed. Texts of
 plain ASCII are already in that form.
 
+Look-alikes come from two places. For letters of the Latin, Greek, Cyrillic, Armenian and East Asian scripts, in which names
+are written, they are listed below: the published table of confusable characters joins letters there that a reader tells
+apart (``г`` and ``r``, large and small ``з``, digits and letters). For the letters of all other scripts the published table
+is taken, as the ICU library beside Spark has it, where it gives one Latin letter (of the same case, if the script has cases).
+
 Full-width, half-width and ligature forms, presentation forms and mathematical letters become plain; blanks of all kinds
 become a space; invisible characters go; letters of other scripts that look like Latin ones, and Japanese characters that
 look like others, become these. Accents, case, punctuation and spacing stay. Superscripts, fractions and circled forms
@@ -20,7 +25,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,7 +84,7 @@ def mapping() -> dict[str, str]:
 
 def mapping_table(spark: SparkSession) -> DataFrame:
     """``ch, parts`` (character and combining class): code points that change, and combining marks. Its size is bounded by Unicode's tables."""
-    changed = mapping()
+    changed = published(spark) | mapping()
     marks = {chr(cp): chr(cp) for cp in range(0x300, 0x20000) if unicodedata.combining(chr(cp)) and chr(cp) not in changed}
     rows = pd.DataFrame([(ch, new) for ch, new in (changed | marks).items()], columns=["ch", "new"])
     parts = lambda new: [{"c": c, "cls": unicodedata.combining(c)} for c in new]
@@ -87,16 +92,17 @@ def mapping_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(rows.itertuples(index=False, name=None)), "ch string, parts array<struct<c:string,cls:int>>")
 
 
-def _ordered(parts: Column) -> Column:
-    """Marks behind each base ordered by combining class, stable; parts as text."""
+#: Scripts whose look-alikes are listed above, and kinds of characters that decompose or are no letters of words.
+LISTED = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "CJK", "KATAKANA", "HIRAGANA", "HALFWIDTH", "FULLWIDTH", "MODIFIER")
 
-    def step(acc: Column, x: Column) -> Column:
-        base = F.when(x["cls"] == 0, F.size(acc["out"])).otherwise(acc["base"])
-        item = F.struct(base.alias("base"), x["cls"].alias("cls"), F.size(acc["out"]).alias("at"), x["c"].alias("c"))
-        return F.struct(base.alias("base"), F.concat(acc["out"], F.array(item)).alias("out"))
 
-    start = F.struct(F.lit(-1).alias("base"), F.array().cast("array<struct<base:int,cls:int,at:int,c:string>>").alias("out"))
-    return F.array_join(F.transform(F.array_sort(F.aggregate(parts, start, step)["out"]), lambda x: x["c"]), "")
+def published(spark: SparkSession) -> dict[str, str]:
+    """Letters of the scripts that aren't listed, with the Latin letter the published table of confusables gives; one call into the JVM."""
+    letters = [chr(cp) for cp in (*range(0x80, 0xD800), *range(0xE000, 0x20000)) if unicodedata.category(chr(cp)) in ("Lu", "Ll", "Lo") and not unicodedata.name(chr(cp), "").startswith(LISTED)]
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    alike = checker.getSkeleton("\n".join(letters)).split("\n")
+    fits = lambda c, x: len(x) == 1 and x.isascii() and x.isalpha() and unicodedata.category(c) in ("Lo", unicodedata.category(x))
+    return {c: x for c, x in zip(letters, alike, strict=True) if fits(c, x)}
 
 
 @F.pandas_udf(T.StringType())
@@ -106,28 +112,35 @@ def _recomposed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def same_look(df: DataFrame, text: str, name: str = "form") -> DataFrame:
-    """``df`` with ``name``, the one form of ``text``."""
+    """``df`` with ``name``, the one form of ``text``.
+
+    Plain texts need no shuffle. Of the others each different text is treated once; where combining marks stand in it,
+    marks are ordered by a window over its points, numbered by the base letter before them.
+    """
     plain = F.coalesce(F.col(text).rlike(r"\A[ -~]*\z"), F.lit(True))
-    rows = df.withColumn("_plain", plain).withColumn("_key", F.when(~plain, F.struct(F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text), F.length(text))))
-    texts = rows.where("not _plain").select("_key", F.col(text).alias("_text")).dropDuplicates(["_key"])
-    points = texts.select("_key", F.posexplode(F.split("_text", "")).alias("at", "ch"))
+    keep = [c for c in df.columns if c != name]
+    done = df.where(plain).select(*keep, F.btrim(F.col(text)).alias(name))
+    rows = df.where(~plain).withColumn("_key", F.struct(F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text), F.length(text)))
+    texts = rows.select("_key", F.col(text).alias("_text")).groupBy("_key").agg(F.min("_text").alias("_text"))
+    points = texts.select("_key", F.col("_text").rlike(r"\p{M}").alias("_marked"), F.posexplode(F.split("_text", "")).alias("at", "ch"))
     joined = points.join(F.broadcast(mapping_table(df.sparkSession)), "ch", "left")
     parts = F.coalesce("parts", F.array(F.struct(F.col("ch").alias("c"), F.lit(0).alias("cls"))))
-    whole = joined.select("_key", F.struct("at", parts.alias("parts")).alias("piece")).groupBy("_key").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
-    flat = F.flatten(F.transform("pieces", lambda p: p["parts"]))
-    made = whole.select("_key", flat.alias("parts"))
-    marked = F.exists(F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1))), lambda x: x["cls"] > 0)
-    made = made.select("_key", F.when(marked, _ordered(F.col("parts"))).otherwise(F.array_join(F.transform("parts", lambda x: x["c"]), "")).alias("_made"))
+    pieces = joined.select("_key", "_marked", "at", parts.alias("parts"))
+    whole = pieces.where("not _marked").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("at", "parts"))).alias("p"))
+    whole = whole.select("_key", F.array_join(F.transform(F.flatten(F.transform("p", lambda x: x["parts"])), lambda x: x["c"]), "").alias("_made"))
+    single = pieces.where("_marked").select("_key", "at", F.posexplode("parts").alias("sub", "part")).select("_key", "at", "sub", "part.c", "part.cls")
+    base = F.sum((F.col("cls") == 0).cast("int")).over(Window.partitionBy("_key").orderBy("at", "sub"))  # one text each
+    ordered = single.withColumn("base", base).groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("base", "cls", "at", "sub", "c"))).alias("p"))
+    made = whole.unionByName(ordered.select("_key", F.array_join(F.transform("p", lambda x: x["c"]), "").alias("_made")))
     made = made.select(F.col("_key").alias("_k"), F.btrim(_recomposed("_made")).alias("_form"))
-    done = rows.join(made, F.col("_key") == F.col("_k"), "left")
-    keep = [c for c in df.columns if c != name]
-    return done.select(*keep, F.when(F.col("_plain"), F.btrim(F.col(text))).otherwise(F.coalesce("_form", F.lit(""))).alias(name))
+    return done.unionByName(rows.join(made, F.col("_key") == F.col("_k"), "left").select(*keep, F.coalesce("_form", F.lit("")).alias(name)))
 
 
 def pairs(forms: DataFrame, group: str = "tab", key: str = "id", form: str = "form") -> DataFrame:
     """Pairs of different keys of one group with the same form: ``group, id_a, id_b``, ``id_a < id_b``.
 
-    Forms are compared by a 128-bit hash, so that texts needn't be shuffled; only forms of at least two keys are joined.
+    Forms are compared by a 128-bit hash, so that texts needn't be shuffled; only forms of at least two keys are joined. The
+    number of pairs grows with the square of a form's keys; ``classes`` has one row for each key instead.
     """
     rows = forms.where(F.col(form).isNotNull() & F.col(key).isNotNull())
     hashed = cut(rows.select(group, key, F.xxhash64(F.lit(1), form).alias("_h1"), F.xxhash64(F.lit(2), form).alias("_h2")))  # forms are made once
@@ -136,3 +149,11 @@ def pairs(forms: DataFrame, group: str = "tab", key: str = "id", form: str = "fo
     shared = hashed.join(groups, on, "left_semi").distinct()
     a, b = shared.withColumnRenamed(key, "id_a"), shared.withColumnRenamed(key, "id_b")
     return a.join(b, on).where("id_a < id_b").select(group, "id_a", "id_b")
+
+
+def classes(forms: DataFrame, group: str = "tab", key: str = "id", form: str = "form") -> DataFrame:
+    """The keys that share their form with others: ``group, key, class_id`` (the least key of the form) and ``n_alike``, how many others there are."""
+    rows = forms.where(F.col(form).isNotNull() & F.col(key).isNotNull()).select(group, key, F.xxhash64(F.lit(1), form).alias("_h1"), F.xxhash64(F.lit(2), form).alias("_h2")).distinct()
+    on = [group, "_h1", "_h2"]
+    of = rows.groupBy(*on).agg(F.min(key).alias("class_id"), (F.count(F.lit(1)) - 1).alias("n_alike")).where("n_alike > 0")
+    return rows.join(of, on).select(group, key, "class_id", "n_alike")

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS, BLOCKS_A_GROUP = 1 << 20, 1_000
 
 
 def tempered(shares: dict[str, float], exponent: float) -> dict[str, float]:
@@ -78,6 +78,26 @@ def plan(tokens: dict[str, int], targets: dict[str, tuple[float, int]], budget:
     return {s: {"weight": weights[s], "quota": min(weights[s] * budget, repeats[s] * tokens[s]), "exponent": t} for s in live}
 
 
+def tempered_plan(tokens: dict[str, int], targets: dict[str, tuple[float, int]], budget: float) -> dict[str, dict[str, float]]:
+    """Per source with target: ``weight``, token ``quota`` and ``exponent`` of a temperature mixture of ``budget`` tokens.
+
+    The sources' token shares are raised to an exponent, bisected to the one at which their entropy is that of the target
+    shares; if a source would then be repeated more often than allowed, the exponent rises, by bisection, to the first at
+    which none is. A budget beyond what all repeats hold is met as far as they go.
+    """
+    live = {s: t for s, t in targets.items() if t[0] and t[0] > 0 and tokens.get(s, 0) > 0 and (t[1] or 0) > 0}
+    if not live:
+        return {}
+    natural = tempered({s: float(tokens[s]) for s in live}, 1.0)
+    wanted = exponent_for_entropy(natural, entropy(tempered({s: t[0] for s, t in live.items()}, 1.0)))
+    fits = lambda t: all(w * budget <= live[s][1] * tokens[s] * (1 + 1e-12) for s, w in tempered(natural, t).items())
+    exponent = wanted
+    if not fits(wanted) and wanted < 1:
+        exponent = 1.0 - bisect(lambda back: fits(1.0 - back), 0.0, 1.0 - wanted) if fits(1.0) else 1.0
+    weights = tempered(natural, exponent)
+    return {s: {"weight": weights[s], "quota": min(weights[s] * budget, live[s][1] * tokens[s]), "exponent": exponent} for s in live}
+
+
 def realised(sizes: DataFrame, quotas: dict[str, dict[str, float]], repeats: dict[str, int], seed: int = 0) -> DataFrame:
     """From ``doc_id, source, n_tokens``: the same with ``uses``, how often each document of a source with quota is used."""
     spark = sizes.sparkSession
@@ -92,13 +112,22 @@ def realised(sizes: DataFrame, quotas: dict[str, dict[str, float]], repeats: dic
     docs = sizes.join(F.broadcast(per), "source").withColumn("turn", F.xxhash64(F.lit(seed), "doc_id"))
     docs = docs.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("blocks")))
     sums = docs.groupBy("source", "block").agg(F.sum("n_tokens").alias("in_block"))
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block of a million tokens
-    sums = sums.withColumn("before", F.coalesce(F.sum("in_block").over(before), F.lit(0))).select("source", "block", "before")
+    sums = placed_before(sums)
     within = Window.partitionBy("source", "block").orderBy("turn", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = docs.join(sums, ["source", "block"]).withColumn("upto", F.col("before") + F.sum("n_tokens").over(within))
     return placed.select("doc_id", "source", "n_tokens", (F.col("passes") + (F.col("upto") <= F.col("rest")).cast("long")).alias("uses"))
 
 
+def placed_before(sums: DataFrame, fan: int = BLOCKS_A_GROUP) -> DataFrame:
+    """``source, block, before``: the tokens in the blocks before each, by sums within and before groups of ``fan`` blocks, so that a source's blocks aren't one task's work."""
+    sums = sums.withColumn("part", F.floor(F.col("block") / fan))
+    inner = Window.partitionBy("source", "part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for a thousand blocks of a million tokens
+    groups = sums.groupBy("source", "part").agg(F.sum("in_block").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(outer), F.lit(0))).select("source", "part", "ahead")
+    within = sums.withColumn("inside", F.coalesce(F.sum("in_block").over(inner), F.lit(0)))
+    return within.join(groups, ["source", "part"]).select("source", "block", (F.col("inside") + F.col("ahead")).alias("before"))
+
+
 def shares_reached(used: DataFrame, quotas: dict[str, dict[str, float]], targets: dict[str, tuple[float, int]]) -> DataFrame:
     """Per source of the targets: documents, uses, tokens and share reached beside the target share and the weight."""
     spark = used.sparkSession

@@ -47,17 +47,22 @@ def p7_forms(spark: SparkSession, d: str) -> DataFrame:
     return _forms(spark, d)
 
 
+def p7_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of names that look the same: one row for each name that has others alike."""
+    return lookalike.classes(_forms(spark, d))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encoded(table(spark, d, "documents"))
 
 
-def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, dict, dict]:
+def _mix(spark: SparkSession, d: str, by_temperature: bool = False) -> tuple[DataFrame, dict, dict]:
     sizes = bpe.encoded(table(spark, d, "documents"), keep=("doc_id", "source")).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"))
     sizes = cut(sizes)  # tokens are counted once
     targets = {r.source: (r.target_share, r.max_repeats) for r in table(spark, d, "mixture_targets").collect()}  # a fixed, small table
     tokens = {r.source: r.n for r in sizes.where(F.col("source").isin(*targets)).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}  # one row for each target
-    quotas = mixing.plan(tokens, targets)
+    quotas = mixing.tempered_plan(tokens, targets, float(sum(tokens.values()))) if by_temperature else mixing.plan(tokens, targets)
     return mixing.realised(sizes, quotas, {s: t[1] for s, t in targets.items()}), quotas, targets
 
 
@@ -73,6 +78,12 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares_reached(used, quotas, targets)
 
 
+def p9_tempered(spark: SparkSession, d: str) -> DataFrame:
+    """Shares reached by a temperature mixture as large as all sources with a target together, as even as the targets and within the caps."""
+    used, quotas, targets = _mix(spark, d, by_temperature=True)
+    return mixing.shares_reached(used, quotas, targets)
+
+
 def _scores(spark: SparkSession, d: str) -> DataFrame:
     return abuse.scored(table(spark, d, "documents"), table(spark, d, "speech_labels"), keep=("doc_id", "source"))
 
@@ -92,7 +103,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rates(_scores(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_unmatched, p7_found, p7_forms, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_unmatched, p7_found, p7_forms, p7_classes, p8_ids, p9_mix, p9_shares, p9_tempered, p10_found, p10_scores, p10_rates)}
 _TIDY = "trim(regexp_replace(trim(lower(nfc_normalize({c})), ' ' || chr(9) || chr(10) || '.?!:;*'), '[[:space:]' || chr(160) || ']+', ' ', 'g'))"
 _CHARS = " || ".join(f"chr({ord(c)})" for c in BLANKS)
 

@@ -44,3 +44,31 @@ def test_pairs(spark):
     df = spark.createDataFrame(rows, "tab string, id string, form string")
     assert {tuple(r) for r in lookalike.pairs(df).collect()} == {("n", "1", "2"), ("n", "1", "3"), ("n", "2", "3")}
     assert lookalike.pairs(df.limit(0)).collect() == []
+
+
+def test_published_look_alikes(spark):
+    """Letters of scripts that aren't listed come from the published table; cased ones keep their case, listed scripts stay as listed."""
+    alike = {"ꓐ": "B", "Ꮤ": "W", "ᗅ": "A", "Ꮃ": "W", "ꮩ": "v", "ⲟ": "o"}
+    apart = ["г", "З", "з", "κ", "б", "Ы", "ß", "ا", "ع"]
+    df = spark.createDataFrame([(x,) for x in [*alike, *apart]], "name string")
+    got = {r["name"]: r.form for r in lookalike.same_look(df, "name").collect()}
+    assert {x: got[x] for x in alike} == alike
+    assert {x: got[x] for x in apart[:7]} == {x: x for x in apart[:7]}
+    table = lookalike.published(spark)
+    assert all(len(v) == 1 and v.isascii() and (unicodedata.category(k) == "Lo" or k.islower() == v.islower()) for k, v in table.items())
+
+
+def test_marks_in_any_order(spark):
+    """Marks of different classes behind a base may come in any order, over a long text too."""
+    marks = ["̣", "̂", "̧", "́"]
+    texts = ["".join("a" + "".join(p) for p in itertools.permutations(marks)), *("o" + "".join(p) + "x" for p in itertools.permutations(marks, 3)), "̣́a", "ẹ́" * 20_000]
+    df = spark.createDataFrame([(t,) for t in texts], "name string")
+    for r in lookalike.same_look(df, "name").collect():
+        assert r.form == unicodedata.normalize("NFC", r["name"])
+
+
+def test_classes(spark):
+    rows = [("n", "1", "A"), ("n", "2", "A"), ("n", "2", "A"), ("n", "3", "A"), ("v", "4", "A"), ("n", "5", None), ("n", None, "A"), ("v", "6", "B")]
+    df = spark.createDataFrame(rows, "tab string, id string, form string")
+    assert {tuple(r) for r in lookalike.classes(df).collect()} == {("n", i, "1", 2) for i in "123"}
+    assert lookalike.classes(df.limit(0)).collect() == []

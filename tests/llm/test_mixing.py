@@ -57,3 +57,27 @@ def test_empty(spark):
     sizes = spark.createDataFrame([], "doc_id long, source string, n_tokens long")
     assert mixing.realised(sizes, {"a": {"weight": 1.0, "quota": 5.0}}, {"a": 1}).collect() == []
     assert [r.share for r in mixing.shares_reached(sizes.withColumn("uses", F.lit(1)), {}, {"a": (1.0, 1)}).collect()] == [0.0]
+
+
+def test_tempered_plan():
+    """The exponent gives the targets' entropy; caps raise it; both are found by bisection."""
+    tokens, even = {"a": 1_000_000, "b": 100_000, "c": 10_000}, {"a": (0.4, 100), "b": (0.3, 100), "c": (0.3, 100)}
+    free = mixing.tempered_plan(tokens, even, 1e5)
+    weights = {s: q["weight"] for s, q in free.items()}
+    assert abs(mixing.entropy(weights) - mixing.entropy({s: t[0] for s, t in even.items()})) < 1e-6 and abs(sum(weights.values()) - 1) < 1e-9
+    capped = mixing.tempered_plan(tokens, {s: (t[0], 2) for s, t in even.items()}, 1.11e6)
+    assert free["a"]["exponent"] < capped["a"]["exponent"] <= 1
+    assert all(q["quota"] <= 2 * tokens[s] * (1 + 1e-9) for s, q in capped.items()) and max(q["quota"] / tokens[s] for s, q in capped.items()) > 1.99
+    over = mixing.tempered_plan(tokens, {s: (t[0], 2) for s, t in even.items()}, 1e9)
+    assert {s: q["quota"] for s, q in over.items()} == {s: 2 * n for s, n in tokens.items()}
+    assert mixing.tempered_plan({}, even, 1e6) == {} and mixing.tempered_plan(tokens, {}, 1e6) == {}
+
+
+def test_blocks_are_placed_as_by_one_window(spark):
+    rows = [(s, k, (k * 7919) % 101) for s in ("a", None, "b") for k in range(57)]
+    got = {(r.source, r.block): r.before for r in mixing.placed_before(spark.createDataFrame([r for r in rows if r[0]], "source string, block long, in_block long"), fan=10).collect()}
+    for s in ("a", "b"):
+        total = 0
+        for _, k, n in (r for r in rows if r[0] == s):
+            assert got[s, k] == total
+            total += n

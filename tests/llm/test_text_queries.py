@@ -14,9 +14,11 @@ COLUMNS = {
     "p5_unmatched": "language string, lang_code string, n_rows bigint",
     "p7_found": "tab string, id_a string, id_b string",
     "p7_forms": "tab string, id string, name string, form string",
+    "p7_classes": "tab string, id string, class_id string, n_alike bigint",
     "p8_ids": "doc_id bigint, ids array<int>",
     "p9_mix": "doc_id bigint, source string, n_tokens bigint, uses bigint",
     "p9_shares": "source string, target_share double, weight double, n_docs bigint, n_uses bigint, most_uses bigint, n_tokens bigint, share double",
+    "p9_tempered": "source string, target_share double, weight double, n_docs bigint, n_uses bigint, most_uses bigint, n_tokens bigint, share double",
     "p10_found": "doc_id bigint",
     "p10_scores": "doc_id bigint, source string, score double, offensive boolean",
     "p10_rates": "source string, n_docs bigint, n_offensive bigint, rate double",
