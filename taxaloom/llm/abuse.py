@@ -48,7 +48,7 @@ LENGTH, DECAY, WIDTH, COST, TURNS, SEED, UNKNOWN, CUT_AT = 3, 0.5, 2.0, 30.0, 3,
 # Surroundings: how near counts, weight and value of the prior, least weight of others, most harmless weight of a lone sentence.
 REACH, PRIOR_WEIGHT, PRIOR, LEAST, LONE = 0.7, 0.5, 0.35, 0.2, 0.3
 NO_SENTENCE = -9.0
-MEMO = 300_000
+MEMO, EACH = 300_000, 64
 
 # Digits and signs written for letters.
 LEET = str.maketrans("013457@$", "oieastas")
@@ -59,6 +59,7 @@ MARKS = re.compile("[\u0300-\u036f]+")
 CUT = re.compile(r"[.!?;…,]+(?:[\s*]+|$)|(?<=:)\s+|[\n\r]+|\s[—–-]+\s|[\[\](){}«»“”„\"¡¿]")
 WORD = re.compile(r"[\w*#@$]*[^\W\d_][\w*#@$]*")
 LONG = re.compile(r"([^\W\d_])\1{2,}")
+NUMBER = re.compile(r"\d(?<![\w*#@$]\d)[\d.]*(?![\w*#@$])")
 
 
 def _joined(m: re.Match[str]) -> str:
@@ -66,12 +67,12 @@ def _joined(m: re.Match[str]) -> str:
 
 
 def folded(text: str) -> str:
-    """Look-alikes and invisible characters resolved, lower case, without accents, spaced-out words joined, glued sentences parted."""
+    """Look-alikes and invisible characters resolved, lower case, without accents and numbers, spaced-out words joined, glued sentences parted."""
     if not text.isascii():
         text = _plain(text)
     text = GLUED.sub(". \\g<0>", text)
     out = text.replace("'", "").lower() if text.isascii() else MARKS.sub("", unicodedata.normalize("NFD", text.casefold()))
-    return SPACED.sub(_joined, out) if SINGLES.search(f" {out}") else out
+    return NUMBER.sub("", SPACED.sub(_joined, out) if SINGLES.search(f" {out}") else out)
 
 
 @cache
@@ -89,7 +90,7 @@ def _plain(text: str) -> str:
 
 def parts(text: str | None) -> list[str]:
     """The sentences of a text, folded: what stands between two punctuation marks."""
-    return [p for p in CUT.split(folded(text)) if p] if text else []
+    return [p for x in CUT.split(folded(text)) if (p := x.strip())] if text else []
 
 
 def _word(w: str) -> str:
@@ -100,12 +101,12 @@ def _word(w: str) -> str:
 def tokens(part: str, known: dict[str, str] | None = None) -> list[str]:
     """The words of a folded sentence; ``known`` keeps words made before."""
     known = {} if known is None else known
-    out = []
-    for w in WORD.findall(part):
-        if (made := known.get(w)) is None:
-            made = known[w] = _word(w)
-        out.append(made)
-    return out
+    words = WORD.findall(part)
+    try:
+        return [known[w] for w in words]
+    except KeyError:
+        known.update((w, _word(w)) for w in words if w not in known)
+        return [known[w] for w in words]
 
 
 def sentences(text: str | None) -> list[list[str]]:
@@ -191,10 +192,20 @@ class WordSpace:
         """Unit vectors of sentences: sums over their words."""
         self.learn(w for r in rows for w in r)
         out = np.full((len(rows), self.width), UNKNOWN, np.float32)  # the last place stands for words unlike all landmarks
-        for at in range(0, len(rows), 1024):
-            part = rows[at : at + 1024]
-            ends = np.cumsum([0, *map(len, part)])[:-1]
-            out[at : at + 1024, :-1] = np.add.reduceat(self.table[[self.memo[w] for r in part for w in r]], ends, axis=0)
+        order = sorted(range(len(rows)), key=lambda k: -len(rows[k]))
+        for at in range(0, len(rows), 2048):
+            part = order[at : at + 2048]
+            lengths = np.array([len(rows[k]) for k in part])
+            ids = np.array([self.memo[w] for k in part for w in rows[k]])
+            starts = np.cumsum(lengths) - lengths
+            sums = np.zeros((len(part), self.table.shape[1]), np.float32)
+            for place in range(min(lengths[0], EACH)):  # word by word over all sentences that have so many
+                n = np.searchsorted(-lengths, -place)
+                sums[:n] += self.table[ids[starts[:n] + place]]
+            for k in np.where(lengths > EACH)[0]:
+                for first in range(EACH, lengths[k], 4096):
+                    sums[k] += self.table[ids[starts[k] + first : starts[k] + min(first + 4096, lengths[k])]].sum(axis=0)
+            out[part, :-1] = sums
         return out / np.linalg.norm(out, axis=1, keepdims=True)
 
     @property
