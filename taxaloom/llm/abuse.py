@@ -59,7 +59,7 @@ MARKS = re.compile("[\u0300-\u036f]+")
 CUT = re.compile(r"[.!?;…,]+(?:[\s*]+|$)|(?<=:)\s+|[\n\r]+|\s[—–-]+\s|[\[\](){}«»“”„\"¡¿]")
 WORD = re.compile(r"[\w*#@$]*[^\W\d_][\w*#@$]*")
 LONG = re.compile(r"([^\W\d_])\1{2,}")
-NUMBER = re.compile(r"\d(?<![\w*#@$]\d)[\d.]*(?![\w*#@$])")
+NUMBER = re.compile(r"\d(?<![\w*#@$]\d)(?:[\d.,]*\d)?(?![\w*#@$])")
 
 
 def _joined(m: re.Match[str]) -> str:
