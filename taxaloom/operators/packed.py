@@ -42,6 +42,8 @@ UNTIDY = (
     f"::|[;>\\x{{a6}}\\x{{ff5c}}\\t]|\\A{_BLANK}|\\z(?<={_BLANK})|\\|(?:{_BLANK}|\\z|(?<={_BLANK}\\|))"
     f"|(?:\\A|[|,/]){_BLANK}*[\"']|\\A[^|]*[,/][^|]*\\z"
 )
+#: Fields of plain words with single blanks and bars between them, which are tidy and need no closer look.
+PLAIN = r"\A[A-Za-z0-9._()-]++(?:[ |][A-Za-z0-9._()-]++)*+\z"
 KNOWN, SINGLE, JOINED = 10, 20, 21  # costs of a cover's parts
 MARKS = re.compile(MARK.replace("x{a6}", "xa6").replace("x{ff5c}", "uff5c"))
 Cut = tuple[list[tuple[int, int, str | None]], list[str]]
@@ -164,7 +166,7 @@ def split_values(fields: Sequence[str | None], patterns: Iterable[str] | ahocora
 
 def untidy(c: Column) -> Column:
     """Whether a field may be other than its values joined by single ``|``."""
-    return F.coalesce(c.rlike(UNTIDY), F.lit(False))
+    return F.when(c.rlike(PLAIN), F.lit(False)).otherwise(F.coalesce(c.rlike(UNTIDY), F.lit(False)))
 
 
 def protected_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -198,13 +200,12 @@ def values(df: DataFrame, keys: Sequence[str], fields: Sequence[str], only_untid
     marked = rows.withColumn("_odd", odd)
     hard = cut(marked.where("_odd").withColumn("_row", F.xxhash64(*fields)))  # found once
 
-    def pairs(f: str) -> Column:
-        """Segments of a field that stand next to each other."""
-        s = F.transform(F.split(f, MARK), lambda x: F.btrim(x, F.lit(BLANKS)))
-        return F.when(F.size(s) > 1, F.transform(F.sequence(F.lit(1), F.size(s) - 1), lambda k: F.struct(F.get(s, k - 1).alias("head"), F.get(s, k).alias("next"))))
-
-    beside = F.flatten(F.array_compact(F.array(*map(pairs, fields))))
-    heads = hard.select("_row", F.explode(F.array_distinct(beside)).alias("p")).select("_row", "p.head", "p.next").distinct()
+    split = hard.select("_row", *(F.transform(F.split(f, MARK), lambda x: F.btrim(x, F.lit(BLANKS))).alias(f"_s{k}") for k, f in enumerate(fields)))
+    beside = []  # segments of a field that stand next to each other
+    for k in range(len(fields)):
+        s, n = F.col(f"_s{k}"), F.greatest(F.size(f"_s{k}") - 1, F.lit(0))
+        beside.append(F.arrays_zip(F.slice(s, F.lit(1), n), F.slice(s, F.lit(2), n)).cast("array<struct<head:string,next:string>>"))
+    heads = split.select("_row", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*beside))))).alias("p")).select("_row", "p.head", "p.next").distinct()
     patterns = heads.join(protected_values(df, fields), ["head", "next"]).groupBy("_row").agg(F.collect_set("value").alias("_patterns"))
     given = hard.join(patterns, "_row", "left").select(*keys, *fields, "_patterns")
     raw = [F.col(f).alias(f"_raw_{f}") for f in fields]
