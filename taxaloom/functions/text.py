@@ -55,7 +55,7 @@ def file_priority(c: Column) -> Column:
 def outlink_value(column: Column, value: Column) -> Column:
     """The id for a link: of a list of alternative ids the one labelled ``gnoutlink:``, else the value itself."""
     labelled = F.filter(F.transform(F.split(value, ","), lambda v: F.trim(v)), lambda v: v.startswith("gnoutlink:"))
-    first = F.coalesce(F.substring(F.get(labelled, F.lit(0)), 11, 1 << 20), F.lit(""))
+    first = F.coalesce(F.substr(F.get(labelled, F.lit(0)), F.lit(11)), F.lit(""))
     return F.when(column.endswith("col__alternative_id"), F.when(value.isNotNull(), first)).otherwise(value)
 
 

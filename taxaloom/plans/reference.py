@@ -18,6 +18,7 @@ from taxaloom.operators import audit, classification, export, maintain, names, p
 from taxaloom.plans.problems import ROOTED_SQL, sql_uuid
 from taxaloom.session import shared_folder, table
 from taxaloom.sources import archives
+from taxaloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +79,15 @@ def names_inserted(spark: SparkSession, d: str) -> DataFrame:
     return names.absent(names.loaded_names(taxa), strings, ["id"])
 
 
+@query(f"select distinct {sql_uuid5('col__scientific_name')} id, col__scientific_name name from sfga_taxon where trim(col__scientific_name) <> ''")
+def names_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The same names loaded as a stream in micro-batches, each adding what isn't there yet."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    rows = spark.readStream.schema(table(spark, d, "sfga_taxon").schema).option("maxFilesPerTrigger", 4).parquet(f"{d}/sfga_taxon.parque[t]")  # a pattern, as a stream reads no single file
+    incremental.load(rows, f"{folder}/names", f"{folder}/progress", make=names.loaded_names).awaitTermination()
+    return spark.read.parquet(f"{folder}/names").select("id", "name")
+
+
 @query("select data_source_id, count(*) n_rows, count(*) filter (where coalesce(trim(coalesce(nullif(trim(gn__local_id), ''), col__scientific_name)), '') = '') n_blank from sfga_taxon group by 1")
 def blank_names(spark: SparkSession, d: str) -> DataFrame:
     """Rows without any name, the local id standing for the checked spelling."""
@@ -548,6 +558,14 @@ def outlink_values(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sfga_taxon").select("data_source_id", "col__id", text.outlink_value(F.lit("name.col__alternative_id"), F.col("col__alternative_id")).alias("outlink"))
 
 
+@query(
+    r"""select data_source_id, col__id, try_cast(nullif(regexp_extract(col__id, '^\s*([+-]?\d+)', 1), '') as smallint) number, coalesce(regexp_matches(gn__global_id, '^https?://'), false) is_url from sfga_taxon"""
+)
+def id_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """The number an id starts with, if it is small, and whether the global id is a link."""
+    return table(spark, d, "sfga_taxon").select("data_source_id", "col__id", text.leading_int(F.col("col__id")).alias("number"), text.is_url(F.col("gn__global_id")).alias("is_url"))
+
+
 _SLUG = "trim(regexp_replace(regexp_replace(replace(lower({c}), ' ', '-'), '[^a-z0-9-]', '', 'g'), '-{{2,}}', '-', 'g'), '-')"
 
 

@@ -7,12 +7,16 @@ comparisons are made by SQLite.
 
 from __future__ import annotations
 
+import os
 import sqlite3
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, In, InputPartition, IsNotNull, LessThan
 from pyspark.sql.types import StructType
 
@@ -85,6 +89,20 @@ def read(spark: SparkSession, path: str, table: str, columns: Sequence[str] | No
     return (made.option("columns", ",".join(columns)) if columns else made).load()
 
 
+def _statements(path: str) -> Iterator[str]:
+    """The statements of an SQL dump one by one; the file isn't held whole."""
+    lines: list[str] = []
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            lines.append(line)
+            if line.rstrip().endswith(";") and sqlite3.complete_statement(text := "".join(lines)):
+                if text.strip().rstrip(";").strip().upper() not in ("BEGIN TRANSACTION", "BEGIN", "COMMIT"):
+                    yield text
+                lines = []
+    if "".join(lines).strip():
+        yield "".join(lines)
+
+
 def opened(path: str, folder: str) -> str:
     """A plain SQLite file of an archive: as it is, unzipped, or made from an SQL dump, in ``folder``."""
     if path.endswith(".zip"):
@@ -94,7 +112,8 @@ def opened(path: str, folder: str) -> str:
     if path.endswith(".sql"):
         made = Path(folder, Path(path).stem + ".sqlite")
         with sqlite3.connect(made) as con:
-            con.executescript(Path(path).read_text())
+            for statement in _statements(path):
+                con.execute(statement)
         path = str(made)
     return path
 
@@ -113,3 +132,42 @@ def write(df: DataFrame, path: str, table: str, batch: int = 10_000) -> int:
         if rows:
             n += con.executemany(f'insert into "{table}" values ({", ".join("?" * len(df.columns))})', rows).rowcount
     return n
+
+
+def write_each(df: DataFrame, folder: str, table: str, by: str = "data_source_id", batch: int = 10_000) -> DataFrame:
+    """Writes one SQLite file ``<source>.sqlite`` for each source under a shared ``folder``, in tasks; gives ``by, n_rows``.
+
+    A file has one writer, so a source is one task's work, but its rows stream through it in blocks. Each file is written
+    under another name and renamed when it is whole, so that a task that is tried again replaces it.
+    """
+    columns = [c for c in df.columns if c != by]
+    names, marks = ", ".join(f'"{c}"' for c in columns), ", ".join("?" * len(columns))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        now, con, part, n, done = None, None, None, 0, []
+
+        def close() -> None:
+            if con is not None:
+                con.commit()
+                con.close()
+                os.replace(part, f"{folder}/{now}.sqlite")
+                done.append((now, n))
+
+        for pdf in batches:
+            for source, rows in pdf.groupby(by, sort=True):
+                if source != now:
+                    close()
+                    now, part, n = int(source), f"{folder}/.{int(source)}-{uuid.uuid4().hex}", 0
+                    con = sqlite3.connect(part)
+                    con.execute(f'create table "{table}" ({names})')
+                values = rows[columns].astype(object).where(rows[columns].notna(), None)
+                for at in range(0, len(values), batch):
+                    n += con.executemany(f'insert into "{table}" values ({marks})', values.iloc[at : at + batch].values.tolist()).rowcount
+        close()
+        yield pd.DataFrame(done, columns=[by, "n_rows"])
+
+    kind = dict(df.dtypes)[by]
+    plain = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "string", "binary")
+    df = df.select(by, *(F.col(c) if t in plain else F.col(c).cast("string").alias(c) for c, t in df.dtypes if c != by))
+    return df.where(F.col(by).isNotNull()).repartition(by).sortWithinPartitions(by).mapInPandas(run, f"`{by}` {kind}, n_rows long")

@@ -1,3 +1,4 @@
+import os
 import sqlite3
 import zipfile
 
@@ -61,3 +62,15 @@ def test_stream_adds_each_key_once(spark, tmp_path):
     rows(8, 15).write.mode("append").parquet(source)
     incremental.load(stream(), folder, str(tmp_path / "cp")).awaitTermination()
     assert sorted(int(r.id) for r in spark.read.parquet(folder).collect()) == list(range(15))
+
+
+def test_a_file_for_each_source(spark, tmp_path):
+    """Written in tasks, read back by source; null sources have no file, a second run replaces the first."""
+    df = spark.range(500).select((F.col("id") % 3).cast("int").alias("data_source_id"), F.concat(F.lit("r'"), F.col("id")).alias("record_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("n"), F.timestamp_seconds("id").alias("at"))
+    df = df.unionByName(df.limit(1).withColumn("data_source_id", F.lit(None).cast("int")))
+    for _ in range(2):
+        told = {r.data_source_id: r.n_rows for r in sqlite.write_each(df, str(tmp_path / "out"), "name", batch=64).collect()}
+        assert told == {0: 167, 1: 167, 2: 166} and sorted(os.listdir(tmp_path / "out")) == ["0.sqlite", "1.sqlite", "2.sqlite"]
+    back = sqlite.read(spark, str(tmp_path / "out" / "1.sqlite"), "name")
+    assert back.columns == ["record_id", "n", "at"] and back.count() == 167 and back.where("n is null").count() == df.where("data_source_id = 1 and n is null").count()
+    assert sqlite.write_each(df.limit(0), str(tmp_path / "none"), "name").collect() == []
