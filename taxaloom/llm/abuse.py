@@ -410,7 +410,8 @@ def _fit(space: WordSpace, s: Sample) -> Machine:
 
 def fit(texts: Sequence[str | None], labels: Sequence[int]) -> Machine | None:
     """The machine of labelled texts (1 offensive, 0 not); none without sentences of both kinds."""
-    docs = [[(words, p.endswith(":")) for p in parts(t) if (words := tokens(p))] for t in texts]
+    known: dict[str, str] = {}
+    docs = [[(words, p.endswith(":")) for p in parts(t) if (words := tokens(p, known))] for t in texts]
     y = np.where(np.array(labels, int) > 0, 1, -1)
     if not any(any(not told for _, told in d) for d, label in zip(docs, y, strict=True) if label > 0) or not any(d for d, label in zip(docs, y, strict=True) if label < 0):
         return None
