@@ -30,6 +30,7 @@ def leading_int(c: Column) -> Column:
     return F.regexp_extract(c, r"^\s*([+-]?\d+)", 1).try_cast("smallint")
 
 
+# Fixed values in the next two: the forms of date and version in an archive's file name.
 def file_date(c: Column) -> Column:
     """The first ``yyyy-mm-dd`` in a file name, or ``''``."""
     return F.regexp_extract(c, r"(\d{4}-\d{2}-\d{2})", 1)

@@ -40,7 +40,7 @@ def forest(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("chunk_rows", [100_000, 300, 37])
+@pytest.mark.parametrize("chunk_rows", [100_000, 300, 37, 11])
 def test_against_a_plain_walk(spark, chunk_rows):
     rows = forest(3, 1200)
     want = walk({(s, i): p for s, i, p, _ in rows})
